@@ -13,12 +13,15 @@ MATERIALISED = ["sl_receipts", "sl_receipt_items", "dim_store", "dim_date", "dim
 
 
 def build(
-    raw: dict[str, DataFrame], keep: Callable[[str, DataFrame], DataFrame] | None = None
+    raw: dict[str, DataFrame],
+    keep: Callable[[str, DataFrame], DataFrame] | None = None,
+    lines: bool = True,
 ) -> dict[str, DataFrame]:
     """All warehouse tables from the eight landing sets.
 
     ``keep`` may store a table and hand back a frame that reads it; it is called for
-    the tables several later ones use. Left out, the whole graph stays lazy.
+    the tables several later ones use. ``lines=False`` leaves out the line fact and the
+    SKU dimension, whose medians need a job of their own.
     """
     keep = keep or (lambda _, df: df)
     t: dict[str, DataFrame] = {f"br_{name}": df for name, df in raw.items()}
@@ -31,7 +34,8 @@ def build(
     add("sl_store_versions", silver.store_versions(t["br_store_master"]))
     add("dim_store", dims.dim_store(t["sl_store_versions"]))
     add("dim_date", dims.dim_date(t["sl_receipts"]))
-    add("dim_sku", dims.dim_sku(t["sl_receipt_items"]))
+    if lines:
+        add("dim_sku", dims.dim_sku(t["sl_receipt_items"]))
     add(
         "fct_receipt",
         facts.fct_receipt(
@@ -43,7 +47,8 @@ def build(
             t["dim_store"],
         ),
     )
-    add("fct_receipt_line", facts.fct_receipt_line(t["sl_receipt_items"], t["fct_receipt"], t["dim_sku"]))
+    if lines:
+        add("fct_receipt_line", facts.fct_receipt_line(t["sl_receipt_items"], t["fct_receipt"], t["dim_sku"]))
     add("mart_review_queue", marts.review_queue(t["fct_receipt"], t["dim_store"]))
     add("mart_store_health", marts.store_health(t["fct_receipt"], t["dim_store"]))
     add("mart_quality_metrics", marts.quality_metrics(t["fct_receipt"], t["br_quarantine"]))
