@@ -59,10 +59,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` once in shared storage and cut its lineage.
+    """Write ``df`` once to shared storage and go on from the written table.
 
-    Used where a later step reads a frame twice and both reads must see the
-    same physical split; a lost executor then re-reads files, not the plan.
+    Used where later steps read a frame more than once and must see the same
+    physical split, and between rounds of an iteration. A lost executor re-reads
+    files instead of replaying the plan, the planner starts from true sizes, and
+    nothing of the earlier plan (such as its inferred constraints) piles up.
     """
-    prepare(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = prepare(df.sparkSession)
+    path = scratch_path(spark, "settled")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
