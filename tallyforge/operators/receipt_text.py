@@ -46,54 +46,79 @@ def _clean_name(name: Column) -> Column:
     return F.trim(F.regexp_replace(cut, r"\s+[A-Z]$", ""))
 
 
-def _item(name: Column, qty: Column, price: Column) -> Column:
-    sku = F.concat(F.lit("OCR-"), F.substring(F.regexp_replace(F.upper(name), "[^A-Z0-9]", ""), 1, 8))
-    return F.when(
-        F.length(name) >= 2,
-        F.struct(
-            sku.alias("sku"), name.alias("name"), qty.cast("int").alias("qty"), price.alias("unit_price")
-        ),
+def _shape(line: Column) -> Column:
+    """Which item layout a line has, if any."""
+    return (
+        F.when(line.rlike(NOT_AN_ITEM) | line.rlike(SUMMARY_MISREAD), "none")
+        .when(line.rlike(QTY_LINE), "qty")
+        .when(line.rlike(NAMED_LINE), "named")
+        .when(line.rlike(LEADING_NAME), "loose")
+        .otherwise("none")
     )
 
 
-def item_of_line(line: Column) -> Column:
-    """Item struct of one line, or null when the line is not an item."""
-    with_qty = _item(
-        _clean_name(F.regexp_extract(line, QTY_LINE, 2)),
-        F.regexp_extract(line, QTY_LINE, 1).try_cast("int"),
-        _money(F.regexp_extract(line, QTY_LINE, 3)),
+def _raw_price(line: Column, shape: Column) -> Column:
+    last = F.try_element_at(F.regexp_extract_all(line, F.lit(MONEY), F.lit(1)), F.lit(-1))
+    return _money(
+        F.when(shape == "qty", F.regexp_extract(line, QTY_LINE, 3))
+        .when(shape == "named", F.regexp_extract(line, NAMED_LINE, 2))
+        .when(shape == "loose", last)
     )
-    one = F.lit(1)
-    named = _item(
-        _clean_name(F.regexp_extract(line, NAMED_LINE, 1)), one, _money(F.regexp_extract(line, NAMED_LINE, 2))
+
+
+def _raw_name(line: Column, shape: Column) -> Column:
+    return (
+        F.when(shape == "qty", F.regexp_extract(line, QTY_LINE, 2))
+        .when(shape == "named", F.regexp_extract(line, NAMED_LINE, 1))
+        .when(shape == "loose", F.trim(F.regexp_extract(line, LEADING_NAME, 1)))
+    )
+
+
+def _item(x: Column) -> Column:
+    sku = F.concat(F.lit("OCR-"), F.substring(F.regexp_replace(F.upper(x["name"]), "[^A-Z0-9]", ""), 1, 8))
+    qty = F.when(x["shape"] == "qty", F.regexp_extract(x["line"], QTY_LINE, 1).try_cast("int")).otherwise(1)
+    priced = (x["shape"] != "loose") | ((x["price"] > 0) & (x["price"] <= MAX_LOOSE_PRICE))
+    return F.when(
+        (F.length(x["name"]) >= 2) & priced,
+        F.struct(sku.alias("sku"), x["name"].alias("name"), qty.alias("qty"), x["price"].alias("unit_price")),
     )
-    last_price = _money(F.try_element_at(F.regexp_extract_all(line, F.lit(MONEY), F.lit(1)), F.lit(-1)))
-    loose = F.when(
-        (last_price > 0) & (last_price <= MAX_LOOSE_PRICE) & line.rlike(LEADING_NAME),
-        _item(_clean_name(F.trim(F.regexp_extract(line, LEADING_NAME, 1))), one, last_price),
+
+
+def lines_with_items(lines: Column) -> Column:
+    """Each line with its item struct, or a null item. Steps pass their results on, so
+    no pattern runs twice on a line."""
+    shaped = F.transform(lines, lambda x: x.withField("shape", _shape(x["line"])))
+    named = F.transform(
+        shaped,
+        lambda x: x.withField("name", _clean_name(_raw_name(x["line"], x["shape"]))).withField(
+            "price", _raw_price(x["line"], x["shape"])
+        ),
     )
-    excluded = line.rlike(NOT_AN_ITEM) | line.rlike(SUMMARY_MISREAD)
-    return (
-        F.when(excluded, F.lit(None).cast(S.ITEM))
-        .when(line.rlike(QTY_LINE), with_qty)
-        .when(line.rlike(NAMED_LINE), named)
-        .otherwise(loose)
+    return F.transform(
+        named, lambda x: F.struct(x["no"].alias("no"), x["line"].alias("line"), _item(x).alias("item"))
     )
 
 
+def _once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Add columns behind a generator of one row: filters above stay above, so costly
+    expressions are not copied into them and evaluated again."""
+    row = F.struct(*[c.alias(n) for n, c in columns.items()])
+    return df.select("*", F.inline(F.array(row)))
+
+
 def _with_parsed_lines(df: DataFrame, text: str) -> DataFrame:
-    lines = F.transform(
-        text_lines(F.col(text)),
+    flagged = F.transform(
+        lines_with_items(text_lines(F.col(text))),
         lambda x: F.struct(
             x["no"].alias("no"),
             x["line"].alias("line"),
             (x["line"].rlike(TOTAL_LINE) & ~F.lower(x["line"]).contains("sub")).alias("is_total"),
             x["line"].rlike(SUBTOTAL_LINE).alias("is_subtotal"),
             x["line"].rlike(TAX_LINE).alias("is_tax"),
-            item_of_line(x["line"]).alias("item"),
+            x["item"].alias("item"),
         ),
     )
-    return df.withColumn("_lines", lines)
+    return _once(df, {"_lines": flagged})
 
 
 def _first_no(flag: str, *taken: Column) -> Column:
@@ -118,8 +143,8 @@ def parse_receipt_texts(df: DataFrame, text: str = "text") -> DataFrame:
     later repeats are tried as items. Lines nothing matches are kept in ``unparsed``.
     """
     step = _with_parsed_lines(df, text)
-    step = step.withColumns({"_total_no": _first_no("is_total"), "_sub_no": _first_no("is_subtotal")})
-    step = step.withColumn("_tax_no", _first_no("is_tax", F.col("_total_no"), F.col("_sub_no")))
+    step = _once(step, {"_total_no": _first_no("is_total"), "_sub_no": _first_no("is_subtotal")})
+    step = _once(step, {"_tax_no": _first_no("is_tax", F.col("_total_no"), F.col("_sub_no"))})
     used = [F.col("_total_no"), F.col("_sub_no"), F.col("_tax_no")]
 
     def left_over(x):
@@ -128,24 +153,26 @@ def parse_receipt_texts(df: DataFrame, text: str = "text") -> DataFrame:
             keep = keep & ~x["no"].eqNullSafe(no)
         return keep
 
-    step = step.withColumns(
+    step = _once(
+        step,
         {
             "_rest": F.filter("_lines", left_over),
             "subtotal": _summary_value(F.col("_sub_no"), SUBTOTAL_LINE, 1),
             "tax": _summary_value(F.col("_tax_no"), TAX_LINE, 1),
             "_read_total": _summary_value(F.col("_total_no"), TOTAL_LINE, 2),
-        }
+        },
     )
-    step = step.withColumns(
+    step = _once(
+        step,
         {
             "items": F.transform(F.filter("_rest", lambda x: x["item"].isNotNull()), lambda x: x["item"]),
             "unparsed": F.transform(F.filter("_rest", lambda x: x["item"].isNull()), lambda x: x["line"]),
-        }
+        },
     )
     computed = F.round(
         F.aggregate("items", F.lit(0.0), lambda acc, it: acc + it["qty"].cast("double") * it["unit_price"]), 2
     )
-    step = step.withColumn("computed_subtotal", computed)
+    step = _once(step, {"computed_subtotal": computed})
     return step.withColumns(
         {
             "total": F.coalesce(
@@ -159,7 +186,7 @@ def parse_receipt_texts(df: DataFrame, text: str = "text") -> DataFrame:
 
 def item_line_count(text: Column) -> Column:
     """How many lines of a text parse as items: the yield of one read."""
-    return F.size(F.filter(text_lines(text), lambda x: item_of_line(x["line"]).isNotNull()))
+    return F.size(F.filter(lines_with_items(text_lines(text)), lambda x: x["item"].isNotNull()))
 
 
 def best_read(reads: DataFrame) -> DataFrame:

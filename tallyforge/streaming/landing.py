@@ -17,6 +17,7 @@ from tallyforge import schemas as S
 from tallyforge.operators.contract import split_quarantine
 
 _BAD = "_undecoded"
+_MESSAGE = "_message"
 
 
 @dataclass
@@ -50,21 +51,21 @@ def file_source(spark: SparkSession, path: str, max_files: int | None = None) ->
 
 
 def decode(messages: DataFrame, schema: T.StructType = S.LABELLED_RECEIPT, key: str = "receipt_id") -> DataFrame:
-    """Decoded columns plus ``value`` and ``_undecoded``; batch and stream share the schema."""
+    """Decoded columns plus ``_message`` and ``_undecoded``; batch and stream share the schema."""
     with_bad = T.StructType(schema.fields + [T.StructField(_BAD, T.StringType())])
     parsed = messages.withColumn(
         "_r", F.from_json("value", with_bad, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD})
     )
     bad = F.col("_r").isNull() | F.col(f"_r.{_BAD}").isNotNull() | F.col(f"_r.{key}").isNull()
-    return parsed.select(*[F.col(f"_r.{f.name}").alias(f.name) for f in schema.fields], "value", bad.alias(_BAD))
+    return parsed.select(*[F.col(f"_r.{f.name}").alias(f.name) for f in schema.fields], F.col("value").alias(_MESSAGE), bad.alias(_BAD))
 
 
 def good(decoded: DataFrame) -> DataFrame:
-    return decoded.where(~F.col(_BAD)).drop("value", _BAD)
+    return decoded.where(~F.col(_BAD)).drop(_MESSAGE, _BAD)
 
 
 def dead_letters(decoded: DataFrame) -> DataFrame:
-    return decoded.where(F.col(_BAD)).select("value")
+    return decoded.where(F.col(_BAD)).select(F.col(_MESSAGE).alias("value"))
 
 
 def without_redeliveries(stream: DataFrame, event_time: str = "submitted_at", within: str = "1 day") -> DataFrame:
