@@ -12,6 +12,7 @@ from tallyforge.operators import attribution, contract, drift, features, metrics
 from tallyforge.operators.ordering import category_codes, exact_quantiles
 from tallyforge.operators.windows import prior_window
 from tallyforge.plans import scoring
+from tallyforge.session import scratch_path, settle
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -35,6 +36,11 @@ def clean_nested(t: Tables):
     return clean
 
 
+def stored_nested(t: Tables):
+    """Clean receipts written once, for jobs that read them several times."""
+    return settle(clean_nested(t))
+
+
 EXTRA: dict[str, str] = {}
 
 EXTRA["f_lists"] = """
@@ -111,7 +117,7 @@ def _(t):
 
 @register("sku_price_ratio", "select receipt_id, ratio as max_price_ratio_vs_sku_median from f_ratios")
 def _(t):
-    clean = clean_nested(t)
+    clean = stored_nested(t)
     return features.price_ratios(clean, features.sku_median_prices(clean))
 
 
@@ -123,7 +129,7 @@ def _(t):
 
 @register("receipt_features", "select * from features")
 def _(t):
-    return features.build_features(clean_nested(t)).withColumn(
+    return features.build_features(stored_nested(t)).withColumn(
         "submitted_at", F.col("submitted_at").cast("timestamp_ntz")
     )
 
@@ -255,7 +261,7 @@ def _(t):
 
 
 def feature_sides(t: Tables):
-    return features.time_split(features.build_features(clean_nested(t)))
+    return features.time_split(settle(features.build_features(stored_nested(t))))
 
 
 @register(
@@ -452,12 +458,20 @@ def defective(t: Tables):
     return defects.inject_resubmissions(defects.inject_defects(base))
 
 
-def trained(t: Tables):
-    from tallyforge.session import settle
+_FITTED: dict = {}
 
-    clean, _ = contract.split_quarantine(defective(t), AS_OF)
-    feats = settle(features.build_features(clean))
-    return feats, model.train(feats, rounds=QUERY_ROUNDS)
+
+def trained(t: Tables):
+    """Features and model of a scale folder; trained once per session, then read back."""
+    key = (t.spark.sparkContext.applicationId, t.dir)
+    if key not in _FITTED:
+        clean, _ = contract.split_quarantine(defective(t), AS_OF)
+        feats = settle(features.build_features(settle(clean)))
+        path = scratch_path(t.spark, "model")
+        model.save(model.train(feats, rounds=QUERY_ROUNDS), t.spark, path)
+        _FITTED[key] = (feats, path)
+    feats, path = _FITTED[key]
+    return feats, model.load(t.spark, path)
 
 
 @register("model_metrics")

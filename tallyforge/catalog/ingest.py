@@ -217,7 +217,7 @@ EVENT = T.StructType(
 @register("stream_landing", "select event_id, ts, user_id, event_type, value, props from events")
 def _(t):
     root = scratch_path(t.spark, "stream")
-    good = t.events.select(F.to_json(F.struct(*[F.col(c).cast("timestamp").alias(c) if c == "ts" else F.col(c) for c in EVENT.fieldNames()])).alias("value"))
+    good = t.events.select(F.to_json(F.struct(*[F.col(c).cast("timestamp").alias(c) if c == "ts" else F.col(c) for c in EVENT.fieldNames()]), {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}).alias("value"))
     good.write.text(f"{root}/in")
     landing.drain(
         landing.file_source(t.spark, f"{root}/in"), f"{root}/landed", f"{root}/dead", f"{root}/ckpt", EVENT, "event_id"

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tallyforge import schemas as S
 from tallyforge.functions.receipts import items_subtotal
+from tallyforge.functions.staging import compute_once
 
 # Rates and defect kinds.
 ANOMALY_RATE = 0.06
@@ -28,9 +29,9 @@ def _with_draws(df: DataFrame, seed: int, salt: str) -> DataFrame:
     """``_u``: twelve uniform draws in [0, 1) per receipt id."""
     hexes = F.concat(*[F.md5(F.concat(F.col("receipt_id"), F.lit(f":{salt}{seed}:{part}"))) for part in range(3)])
     draws = [
-        F.conv(F.substring(hexes, 8 * i + 1, 8), 16, 10).cast("bigint") / F.lit(4294967296.0) for i in range(_N)
+        F.conv(F.substring("_hex", 8 * i + 1, 8), 16, 10).cast("bigint") / F.lit(4294967296.0) for i in range(_N)
     ]
-    return df.withColumn("_u", F.array(*draws))
+    return compute_once(compute_once(df, {"_hex": hexes}), {"_u": F.array(*draws)}).drop("_hex")
 
 
 def _u(i: int) -> Column:
@@ -56,8 +57,8 @@ def inject_defects(
     d = _with_draws(receipts, seed, "d")
     malformed = _u(0) < malformed_rate
     chosen = ~malformed & (_u(1) < anomaly_rate) & (F.size("items") > 0)
-    d = d.withColumns(
-        {"_break": F.when(malformed, _pick(BREAKS, _u(2))), "_kind": F.when(chosen, _pick(KINDS, _u(2)))}
+    d = compute_once(
+        d, {"_break": F.when(malformed, _pick(BREAKS, _u(2))), "_kind": F.when(chosen, _pick(KINDS, _u(2)))}
     )
     brk, kind = F.col("_break"), F.col("_kind")
     victim = F.floor(_u(3) * F.size("items")).cast("int")
@@ -77,9 +78,9 @@ def inject_defects(
         .when((kind == "ocr_dropout") & (_u(7) < 0.3), F.slice("items", F.lit(1), halved))
         .otherwise(F.col("items"))
     )
-    d = d.withColumn("items", items)
+    d = compute_once(d, {"items": items})
     recompute = F.coalesce(kind.isin("impossible_quantity", "price_outlier"), F.lit(False))
-    d = d.withColumn("_sub", F.when(recompute, _cents(items_subtotal(F.col("items")))))
+    d = compute_once(d, {"_sub": F.when(recompute, _cents(items_subtotal(F.col("items"))))})
     new_tax = _cents(F.col("_sub") * F.lit(S.TAX_RATE))
     drift = F.when(_u(3) < 0.5, -1.0).otherwise(1.0) * (_u(4) * 0.30 + 0.05)
     total = (
@@ -110,7 +111,7 @@ def inject_defects(
             "anomaly_type": label,
             "is_anomaly": label.isNotNull().cast("int"),
         }
-    ).drop("_u", "_break", "_kind", "_sub")
+    ).select(*receipts.columns)
 
 
 def inject_resubmissions(receipts: DataFrame, rate: float = ANOMALY_RATE * RESUBMIT_SHARE, seed: int = 42) -> DataFrame:

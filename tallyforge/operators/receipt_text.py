@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge import schemas as S
+from tallyforge.functions.staging import compute_once
 from tallyforge.sources.normalise import complete_receipts
 
 # Line breaks and the patterns that define each kind of line.
@@ -99,13 +100,6 @@ def lines_with_items(lines: Column) -> Column:
     )
 
 
-def _once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
-    """Add columns behind a generator of one row: filters above stay above, so costly
-    expressions are not copied into them and evaluated again."""
-    row = F.struct(*[c.alias(n) for n, c in columns.items()])
-    return df.select("*", F.inline(F.array(row)))
-
-
 def _with_parsed_lines(df: DataFrame, text: str) -> DataFrame:
     flagged = F.transform(
         lines_with_items(text_lines(F.col(text))),
@@ -118,7 +112,7 @@ def _with_parsed_lines(df: DataFrame, text: str) -> DataFrame:
             x["item"].alias("item"),
         ),
     )
-    return _once(df, {"_lines": flagged})
+    return compute_once(df, {"_lines": flagged})
 
 
 def _first_no(flag: str, *taken: Column) -> Column:
@@ -143,8 +137,8 @@ def parse_receipt_texts(df: DataFrame, text: str = "text") -> DataFrame:
     later repeats are tried as items. Lines nothing matches are kept in ``unparsed``.
     """
     step = _with_parsed_lines(df, text)
-    step = _once(step, {"_total_no": _first_no("is_total"), "_sub_no": _first_no("is_subtotal")})
-    step = _once(step, {"_tax_no": _first_no("is_tax", F.col("_total_no"), F.col("_sub_no"))})
+    step = compute_once(step, {"_total_no": _first_no("is_total"), "_sub_no": _first_no("is_subtotal")})
+    step = compute_once(step, {"_tax_no": _first_no("is_tax", F.col("_total_no"), F.col("_sub_no"))})
     used = [F.col("_total_no"), F.col("_sub_no"), F.col("_tax_no")]
 
     def left_over(x):
@@ -153,7 +147,7 @@ def parse_receipt_texts(df: DataFrame, text: str = "text") -> DataFrame:
             keep = keep & ~x["no"].eqNullSafe(no)
         return keep
 
-    step = _once(
+    step = compute_once(
         step,
         {
             "_rest": F.filter("_lines", left_over),
@@ -162,7 +156,7 @@ def parse_receipt_texts(df: DataFrame, text: str = "text") -> DataFrame:
             "_read_total": _summary_value(F.col("_total_no"), TOTAL_LINE, 2),
         },
     )
-    step = _once(
+    step = compute_once(
         step,
         {
             "items": F.transform(F.filter("_rest", lambda x: x["item"].isNotNull()), lambda x: x["item"]),
@@ -172,7 +166,7 @@ def parse_receipt_texts(df: DataFrame, text: str = "text") -> DataFrame:
     computed = F.round(
         F.aggregate("items", F.lit(0.0), lambda acc, it: acc + it["qty"].cast("double") * it["unit_price"]), 2
     )
-    step = _once(step, {"computed_subtotal": computed})
+    step = compute_once(step, {"computed_subtotal": computed})
     return step.withColumns(
         {
             "total": F.coalesce(
