@@ -14,21 +14,23 @@ AS_OF = "2001-08-02 00:00:00"
 
 
 class Tables:
+    """The test tables of one scale folder; each is opened once."""
+
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.dir = prepare(spark), sf_dir
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        if name.startswith("_"):
+            raise AttributeError(name)
+        df = self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        setattr(self, name, df)
+        return df
 
 
 def _hash(key: str) -> Column:
     return (F.col(key) * 48271) % 2147483647
 
 
-def _bucket(hh: Column, low: int, high: int) -> Column:
-    return (hh % 1000).between(low, high)
-
-
 def items(t: Tables) -> DataFrame:
     """Line items: receipt_id, line_no, sku, item_name, qty, unit_price."""
     li = t.lineitem
@@ -51,48 +53,29 @@ def _receipt_columns(t: Tables) -> DataFrame:
         (F.sum(F.round(F.col("l_extendedprice") * 100.0).cast("bigint")).cast("double") / 100.0).alias("_lines")
     )
     o = t.orders.join(sums, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-    hh = _hash("o_orderkey")
-    lines = F.col("_lines")
-    placed = F.col("o_orderdate") + F.make_dt_interval(secs=(hh % 86400).cast("decimal(18,6)"))
-    late = placed + F.make_dt_interval(days=F.when(_bucket(hh, 20, 24), 3000).otherwise(0))
-    total = (
-        F.when(_bucket(hh, 15, 19), -F.col("o_totalprice"))
-        .when(lines.isNull(), F.col("o_totalprice"))
-        .when(_bucket(hh, 40, 59), lines * F.lit(1.25))
-        .otherwise(lines * F.lit(1.0825))
-    )
-    kind = (
-        F.when(_bucket(hh, 0, 24), "malformed_payload")
-        .when(_bucket(hh, 40, 59), "arithmetic_mismatch")
-        .when(_bucket(hh, 60, 79), "ocr_dropout")
-    )
-    return o.select(
-        F.col("o_orderkey").alias("_key"),
-        F.concat(F.lit("R"), F.col("o_orderkey")).alias("receipt_id"),
-        F.when(~_bucket(hh, 0, 4), F.concat(F.lit("U"), F.col("o_custkey"))).alias("user_id"),
-        F.when(_bucket(hh, 5, 9), "ZZ900")
-        .otherwise(F.concat(F.lit("ST"), F.lpad((F.col("o_orderkey") % 10 + 1).cast("string"), 3, "0")))
-        .alias("store_id"),
-        late.cast("timestamp").alias("submitted_at"),
-        F.when(_bucket(hh, 10, 14), "usd").otherwise("USD").alias("currency"),
-        F.when(F.col("o_orderpriority") == "1-URGENT", "ebt")
-        .when(F.col("o_orderpriority") == "2-HIGH", "wallet")
-        .when(F.col("o_orderpriority") == "3-MEDIUM", "cash")
-        .otherwise("card")
-        .alias("payment_method"),
-        F.concat(F.lit("v"), hh % 4 + 1).alias("scanner_version"),
-        F.when(_bucket(hh, 60, 79), (hh % 38 + 5) / F.lit(100.0))
-        .otherwise((hh % 51 + 50) / F.lit(100.0))
-        .alias("image_quality"),
-        F.when(~_bucket(hh, 60, 71), lines).alias("subtotal"),
-        F.when(~_bucket(hh, 66, 79), lines * F.lit(0.0825)).alias("tax"),
-        total.alias("total"),
-        kind.alias("anomaly_type"),
-        kind.isNotNull().cast("int").alias("is_anomaly"),
-        F.when(_bucket(hh, 40, 79), (hh % 2000 + 8000) / F.lit(10000.0))
-        .otherwise(((hh * 7919) % 10000) / F.lit(10000.0))
-        .alias("_score"),
-        lines.isNotNull().alias("_has_lines"),
+    hashed = o.selectExpr("*", "(o_orderkey * 48271) % 2147483647 as hh", "(o_orderkey * 48271) % 2147483647 % 1000 as bk")
+    return hashed.selectExpr(
+        "o_orderkey as _key",
+        "concat('R', o_orderkey) as receipt_id",
+        "case when bk > 4 then concat('U', o_custkey) end as user_id",
+        "case when bk between 5 and 9 then 'ZZ900' "
+        "else concat('ST', lpad(cast(o_orderkey % 10 + 1 as string), 3, '0')) end as store_id",
+        "cast(o_orderdate + make_dt_interval(case when bk between 20 and 24 then 3000 else 0 end, 0, 0, "
+        "cast(hh % 86400 as decimal(18,6))) as timestamp) as submitted_at",
+        "case when bk between 10 and 14 then 'usd' else 'USD' end as currency",
+        "case o_orderpriority when '1-URGENT' then 'ebt' when '2-HIGH' then 'wallet' when '3-MEDIUM' then 'cash' "
+        "else 'card' end as payment_method",
+        "concat('v', hh % 4 + 1) as scanner_version",
+        "case when bk between 60 and 79 then (hh % 38 + 5) / 100.0D else (hh % 51 + 50) / 100.0D end as image_quality",
+        "case when bk not between 60 and 71 then _lines end as subtotal",
+        "case when bk not between 66 and 79 then _lines * 0.0825D end as tax",
+        "case when bk between 15 and 19 then -o_totalprice when _lines is null then o_totalprice "
+        "when bk between 40 and 59 then _lines * 1.25D else _lines * 1.0825D end as total",
+        "case when bk between 0 and 24 then 'malformed_payload' when bk between 40 and 59 then 'arithmetic_mismatch' "
+        "when bk between 60 and 79 then 'ocr_dropout' end as anomaly_type",
+        "cast(bk between 0 and 24 or bk between 40 and 79 as int) as is_anomaly",
+        "case when bk between 40 and 79 then (hh % 2000 + 8000) / 10000.0D else ((hh * 7919) % 10000) / 10000.0D end as _score",
+        "_lines is not null as _has_lines",
     )
 
 

@@ -11,6 +11,7 @@ from tallyforge.operators import checks, contract, dims, facts, marts, silver
 from tallyforge.plans import warehouse
 from tallyforge.plans.batch import latest_format
 from tallyforge.plans.store_health import daily_store_health
+from tallyforge.session import settle
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -38,22 +39,41 @@ def clean_flat(t: Tables):
     return tagged(t).where("quarantine_reason is null").drop("quarantine_reason", "items")
 
 
+def raw_set(t: Tables, name: str):
+    """One landing set, as derived from the test tables."""
+    if name == "receipts":
+        return clean_flat(t)
+    if name == "receipt_items":
+        return bridge.items(t).join(raw(t, "receipts").select("receipt_id"), "receipt_id", "left_semi")
+    if name == "quarantine":
+        return tagged(t).where("quarantine_reason is not null").drop("items")
+    return {"store_master": bridge.store_feed, "scores": bridge.scores, "explanations": bridge.explanations}[name](t)
+
+
+RAW = ["receipts", "receipt_items", "quarantine", "store_master", "scores", "explanations"]
+_LANDED: dict = {}
+
+
+def raw(t: Tables, name: str):
+    """The landing set as a stored table: written on first use, read from then on."""
+    key = (t.spark.sparkContext.applicationId, t.dir, name)
+    if key not in _LANDED:
+        _LANDED[key] = settle(raw_set(t, name))
+    return _LANDED[key]
+
+
 def raw_sets(t: Tables) -> dict:
-    clean = clean_flat(t)
-    return {
-        "receipts": clean,
-        "receipt_items": bridge.items(t).join(clean.select("receipt_id"), "receipt_id", "left_semi"),
-        "quarantine": tagged(t).where("quarantine_reason is not null").drop("items"),
-        "store_master": bridge.store_feed(t),
-        "scores": bridge.scores(t),
-        "explanations": bridge.explanations(t),
-    }
+    return {name: raw(t, name) for name in RAW}
 
 
 def tables(t: Tables, lines: bool = False) -> dict:
     return warehouse.build(raw_sets(t), lines=lines)
 
 
+def store_dim(t: Tables):
+    return dims.dim_store(silver.store_versions(raw(t, "store_master")))
+
+
 def text_ends(df):
     """Version ends as text: year 9999 is past what nanosecond clients can hold."""
     return df.withColumn("valid_to", F.col("valid_to").cast("string"))
@@ -160,14 +180,14 @@ def _(t):
                from sl_receipts)) where rn = 1""",
 )
 def _(t):
-    once = clean_flat(t)
+    once = raw(t, "receipts")
     again = once.withColumn("submitted_at", F.col("submitted_at") + F.expr("interval 90 seconds"))
     return silver.silver_receipts(once.unionByName(again))
 
 
 @register("silver_items", "select * from sl_receipt_items")
 def _(t):
-    return silver.silver_items(raw_sets(t)["receipt_items"])
+    return silver.silver_items(raw(t, "receipt_items"))
 
 
 @register("store_versions", f"select * {TEXT_END} from sl_store_versions")
@@ -178,22 +198,22 @@ def _(t):
 # ---------------------------------------------------------------- dims ---
 @register("dim_date", "select * from dim_date")
 def _(t):
-    return dims.dim_date(silver.silver_receipts(clean_flat(t)))
+    return dims.dim_date(silver.silver_receipts(raw(t, "receipts")))
 
 
 @register("date_bounds", "select min(submitted_date) as d0, max(submitted_date) as d1 from sl_receipts")
 def _(t):
-    return dims.date_bounds(silver.type_receipts(clean_flat(t)))
+    return dims.date_bounds(silver.type_receipts(raw(t, "receipts")))
 
 
 @register("dim_sku", "select * from dim_sku")
 def _(t):
-    return tables(t, lines=True)["dim_sku"]
+    return dims.dim_sku(silver.silver_items(raw(t, "receipt_items")))
 
 
 @register("dim_store", f"select * {TEXT_END} from dim_store")
 def _(t):
-    return text_ends(dims.dim_store(silver.store_versions(bridge.store_feed(t))))
+    return text_ends(store_dim(t))
 
 
 @register(
@@ -203,7 +223,7 @@ def _(t):
        (select store_natural_key from dim_store group by store_natural_key having count(*) > 1)""",
 )
 def _(t):
-    return text_ends(dims.multi_version_stores(dims.dim_store(silver.store_versions(bridge.store_feed(t)))))
+    return text_ends(dims.multi_version_stores(store_dim(t)))
 
 
 @register(
@@ -217,7 +237,7 @@ def _(t):
 # --------------------------------------------------------------- facts ---
 @register("line_rollup", "select * from rollup")
 def _(t):
-    return facts.line_rollup(silver.silver_items(raw_sets(t)["receipt_items"]))
+    return facts.line_rollup(silver.silver_items(raw(t, "receipt_items")))
 
 
 @register(
@@ -227,8 +247,8 @@ def _(t):
         and r.submitted_at >= d.valid_from and r.submitted_at < d.valid_to""",
 )
 def _(t):
-    dim = dims.dim_store(silver.store_versions(bridge.store_feed(t)))
-    hit = facts.point_in_time_join(silver.type_receipts(clean_flat(t)), dim)
+    dim = store_dim(t)
+    hit = facts.point_in_time_join(silver.type_receipts(raw(t, "receipts")), dim)
     return text_ends(hit.select("receipt_id", "store_key").join(dim.select("store_key", "valid_from", "valid_to"), "store_key", "left"))
 
 
@@ -278,7 +298,7 @@ def _(t):
 
 @register("daily_quarantine", "select * from daily_held")
 def _(t):
-    return marts.daily_quarantine(tables(t)["br_quarantine"])
+    return marts.daily_quarantine(raw(t, "quarantine"))
 
 
 @register("mart_quality_metrics", "select * from mart_quality_metrics")
@@ -406,7 +426,7 @@ def _(t):
     "select q.receipt_id from b_quarantine q where q.receipt_id in (select receipt_id from b_items)",
 )
 def _(t):
-    return checks.quarantined_in_facts(tables(t)["br_quarantine"], bridge.items(t))
+    return checks.quarantined_in_facts(raw(t, "quarantine"), bridge.items(t))
 
 
 @register(
@@ -416,7 +436,7 @@ def _(t):
        having sum(case when valid_to >= timestamp '1998-01-01' then 1 else 0 end) <> 1""",
 )
 def _(t):
-    dim = tables(t)["dim_store"]
+    dim = store_dim(t)
     return checks.not_one_current(dim.withColumn("is_current", F.col("valid_to") >= F.lit("1998-01-01").cast("timestamp_ntz")))
 
 
@@ -429,7 +449,7 @@ def _(t):
 )
 def _(t):
     short = F.when(F.col("store_format") == "express", F.col("valid_to") - F.expr("interval 1 day"))
-    return checks.version_gaps(tables(t)["dim_store"].withColumn("valid_to", F.coalesce(short, "valid_to")))
+    return checks.version_gaps(store_dim(t).withColumn("valid_to", F.coalesce(short, "valid_to")))
 
 
 @register(
@@ -446,7 +466,7 @@ def _(t):
     longer = F.when(
         (F.col("store_format") == "express") & ~F.col("is_current"), F.col("valid_to") + F.expr("interval 200 days")
     )
-    return checks.version_overlaps(tables(t)["dim_store"].withColumn("valid_to", F.coalesce(longer, "valid_to")))
+    return checks.version_overlaps(store_dim(t).withColumn("valid_to", F.coalesce(longer, "valid_to")))
 
 
 @register(

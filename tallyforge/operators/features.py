@@ -141,7 +141,6 @@ def build_features(
 
 def time_split(features: DataFrame, test_fraction: float = S.HOLDOUT_FRACTION) -> tuple[DataFrame, DataFrame]:
     """Chronological (train, test): the first int(n * (1 - fraction)) rows by (time, id) train."""
-    cut = int(features.count() * (1 - test_fraction))
-    if cut == 0:
-        return features.where(F.lit(False)), features
-    return split_at(features, "submitted_at", "receipt_id", cut)
+    return split_at(
+        features, "submitted_at", "receipt_id", lambda n: F.floor(n * F.lit(1 - test_fraction)).cast("bigint")
+    )

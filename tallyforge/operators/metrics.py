@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.functions.receipts import rate
-from tallyforge.operators.ordering import order_cut, running_totals
+from tallyforge.operators.ordering import before_cut, order_cuts, running_totals
 
 
 def score_curve(df: DataFrame, score: str, label: str) -> DataFrame:
@@ -59,20 +59,20 @@ def best_threshold(curve: DataFrame) -> DataFrame:
     return curve.agg(best.alias("b")).select((-F.col("b.neg")).alias("threshold"), F.col("b.f1").alias("f1"))
 
 
-def precision_at(
-    df: DataFrame, score: str, label: str, row_id: str, fractions: list[float], n: int | None = None
-) -> DataFrame:
+def precision_at(df: DataFrame, score: str, label: str, row_id: str, fractions: list[float]) -> DataFrame:
     """(fraction, k, precision): mean label of the max(1, int(n * fraction)) best-scored rows.
 
-    Cut points are two plain values per fraction; the data is then read once for all of them.
+    One ranking serves all fractions; the data is then read once with plain cut values.
     """
-    total = df.count() if n is None else n
-    inside = []
-    for f in fractions:
-        k = max(1, int(total * f))
-        value, tie = order_cut(df, score, row_id, k, descending=True)
-        top = (F.col(score) > F.lit(value)) | ((F.col(score) == F.lit(value)) & (F.col(row_id) <= F.lit(tie)))
-        inside.append(F.when(top, F.struct(F.lit(float(f)).alias("fraction"), F.lit(k).cast("bigint").alias("k"))))
+    ks = [lambda n, f=f: F.greatest(F.lit(1).cast("bigint"), F.floor(n * F.lit(float(f))).cast("bigint")) for f in fractions]
+    cuts = order_cuts(df, score, row_id, ks, descending=True)
+    inside = [
+        F.when(
+            before_cut(score, row_id, cut, descending=True),
+            F.struct(F.lit(float(f)).alias("fraction"), F.lit(cut[2]).cast("bigint").alias("k")),
+        )
+        for f, cut in zip(fractions, cuts, strict=True)
+    ]
     rows = df.select(F.col(label).alias("y"), F.explode(F.array_compact(F.array(*inside))).alias("c"))
     return rows.groupBy("c.fraction", "c.k").agg(rate(F.sum("y"), F.count(F.lit(1))).alias("precision"))
 

@@ -86,40 +86,70 @@ def exact_median(df: DataFrame, keys: list[str], value: str, name: str) -> DataF
     return found.select(*keys, F.col("quantiles")[0].alias(name))
 
 
-def kth_value(df: DataFrame, order: str, k: Column) -> DataFrame:
-    """One row: the value of the k-th row (from 1) by ``order``, and how many rows precede it."""
+def order_cuts(df: DataFrame, order: str, tiebreak: str, ks: list, descending: bool = False) -> list[tuple]:
+    """For each wanted count, the cut ``(value, tie, k)``: the first k rows by (order, tiebreak)
+    are those beyond ``value`` plus those at ``value`` whose tiebreak is at most ``tie``.
+
+    ``ks`` are functions from the number of rows (a column) to k (a column). ``tie`` is
+    None when all rows at ``value`` belong to the first k. Only these few values leave
+    the cluster; rows tied at a cut are ranked among themselves by ``tiebreak``, so
+    one value may hold any share of the rows.
+    """
     ranked = running_totals(df, [], order, {"n": F.lit(1)})
-    return ranked.where((F.col("n_before") < k) & (k <= F.col("n_before") + F.col("n"))).select(
-        F.col(order).alias("value"), F.col("n_before").alias("before"), F.col("n").alias("ties")
+    first = F.col("n_all") - F.col("n_before") - F.col("n") if descending else F.col("n_before")
+    hits = [
+        F.when((first < k(F.col("n_all"))) & (k(F.col("n_all")) <= first + F.col("n")), F.struct(F.lit(i).alias("i"), k(F.col("n_all")).cast("bigint").alias("k")))
+        for i, k in enumerate(ks)
+    ]
+    found = (
+        ranked.select(F.col(order).alias("value"), first.alias("first"), "n", F.explode(F.array_compact(F.array(*hits))).alias("h"))
+        .select("value", "first", "n", "h.i", "h.k")
+        .collect()
     )
+    cuts: list[tuple] = [(None, None, 0)] * len(ks)
+    open_values = {r["value"] for r in found if r["k"] - r["first"] < r["n"]}
+    ties = {}
+    if open_values:
+        tied = df.where(F.col(order).isin([F.lit(v) for v in open_values]))
+        places = running_totals(tied, [order], tiebreak, {"n": F.lit(1)})
+        wanted = F.lit(False)
+        for r in found:
+            need = r["k"] - r["first"]
+            wanted = wanted | (
+                (F.col(order) == F.lit(r["value"]))
+                & (F.col("n_before") < need)
+                & (F.lit(need) <= F.col("n_before") + F.col("n"))
+            )
+        for p in places.where(wanted).select(F.col(order).alias("value"), F.col(tiebreak).alias("tie"), "n_before", "n").collect():
+            ties.setdefault(p["value"], []).append(p)
+    for r in found:
+        need = r["k"] - r["first"]
+        tie = None
+        if need < r["n"]:
+            tie = next(p["tie"] for p in ties[r["value"]] if p["n_before"] < need <= p["n_before"] + p["n"])
+        cuts[r["i"]] = (r["value"], tie, r["k"])
+    return cuts
+
+
+def before_cut(order: str, tiebreak: str, cut: tuple, descending: bool = False) -> Column:
+    """Whether a row is among the first k of a cut."""
+    value, tie, _ = cut
+    if value is None:
+        return F.lit(False)
+    beyond = F.col(order) > F.lit(value) if descending else F.col(order) < F.lit(value)
+    at = F.col(order) == F.lit(value)
+    return beyond | (at if tie is None else at & (F.col(tiebreak) <= F.lit(tie)))
 
 
-def order_cut(df: DataFrame, order: str, tiebreak: str, k: int, descending: bool = False):
-    """The (order, tiebreak) pair of the k-th row, as two plain values.
+def split_at(df: DataFrame, order: str, tiebreak: str, k, descending: bool = False):
+    """(first k rows, the rest) by (order, tiebreak); ids must be unique.
 
-    Only the two values leave the cluster. Splitting at them is then a filter that
-    reaches the scan. Ties on ``order`` are settled by ``tiebreak`` ascending, and
-    only the tied rows are looked at again, so one value may hold any share of rows.
+    ``k`` is a number or a function from the row count (a column) to a column.
     """
-    n = df.count() if descending else None
-    rank = F.lit(n - k + 1 if descending else k)
-    top = kth_value(df, order, rank).first()
-    if top is None:
-        return None, None
-    need = k - (n - top["before"] - top["ties"]) if descending else k - top["before"]
-    tied = df.where(F.col(order) == F.lit(top["value"]))
-    second = kth_value(tied, tiebreak, F.lit(need)).first()
-    return top["value"], second["value"]
-
-
-def split_at(df: DataFrame, order: str, tiebreak: str, k: int, descending: bool = False):
-    """(first k rows, the rest) by (order, tiebreak); ids must be unique."""
-    value, tie = order_cut(df, order, tiebreak, k, descending)
-    if value is None:
-        return df.where(F.lit(False)), df
-    beyond = F.col(order) > F.lit(value) if descending else F.col(order) < F.lit(value)
-    first = beyond | ((F.col(order) == F.lit(value)) & (F.col(tiebreak) <= F.lit(tie)))
-    return df.where(first), df.where(~first)
+    wanted = k if callable(k) else (lambda _: F.lit(k))
+    (cut,) = order_cuts(df, order, tiebreak, [wanted], descending)
+    inside = before_cut(order, tiebreak, cut, descending)
+    return df.where(inside), df.where(~inside)
 
 
 def category_codes(df: DataFrame, columns: list[str]) -> DataFrame:

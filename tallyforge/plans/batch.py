@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from tallyforge import schemas as S
 from tallyforge.operators import attribution, contract, drift, features, model, silver
-from tallyforge.operators.ordering import split_at
 from tallyforge.plans import warehouse
 from tallyforge.session import settle
 from tallyforge.sources.sinks import land, load_raw_tables, write_report
@@ -75,8 +74,7 @@ def run(
     flagged = scored.withColumn(
         "is_flagged", (F.col("anomaly_score") >= F.lit(trained.threshold)).cast("int")
     )
-    cut = int(scored.count() * (1 - S.HOLDOUT_FRACTION))
-    earlier, later = split_at(flagged, "submitted_at", "receipt_id", cut)
+    earlier, later = features.time_split(flagged)
 
     report = drift.detect_drift(earlier, later, S.FEATURE_COLUMNS, score="anomaly_score")
     slices = settle(
