@@ -552,3 +552,15 @@ def _(t):
         F.array((b - 500) / F.lit(8.0), (b * 7 % 1000 - 500) / F.lit(8.0), (b * 13 % 1000 - 500) / F.lit(8.0)).alias("values")
     )
     return marts.feature_attribution(attribution.mean_abs(values, FACTORS))
+
+
+@register("drift_report")
+def _(t):
+    """Report sink round trip: drift, slices and gate verdict as one JSON document."""
+    from tallyforge.sources.sinks import write_report
+
+    ref, cur = line_sides(t)
+    report = drift.detect_drift(ref, cur, LINE_MEASURES)
+    path = scratch_path(t.spark, "drift_report")
+    write_report(drift.drift_document(t.spark, report, drift.rounded_slices(receipt_slices(t))), path)
+    return t.spark.read.json(path).select("prediction_status", "retrain_recommended", "fairness_passed", F.size("slices").alias("n_slices"))

@@ -495,3 +495,15 @@ def _(t):
     made = tables(t)
     job = daily_store_health(made["br_receipts"], made["br_receipt_items"])
     return checks.two_path_agreement(made["fct_receipt"], job)
+
+
+@register("warehouse_check_counts")
+def _(t):
+    """All checks of the warehouse with their number of violating rows."""
+    from tallyforge.catalog.analytics import receipt_slices
+
+    raw_all = {**raw_sets(t), "slice_metrics": receipt_slices(t)}
+    made = warehouse.build(raw_all, keep=lambda _, df: settle(df))
+    made["br_spark_store_health"] = daily_store_health(made["br_receipts"], made["br_receipt_items"])
+    names = t.region.select("r_name").toPandas()["r_name"].tolist()  # five fixed regions
+    return checks.check_counts(checks.warehouse_checks(made, regions=names))
