@@ -7,8 +7,10 @@ import os
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyforge.llm import bpe
+from tallyforge.llm import bpe, license, mixing, urls, warc
+from tallyforge.session import settle
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -46,3 +48,165 @@ def _(spark, sf_dir):
     names = tokenizers()
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.round_trip(docs, names.path("byte_bpe_multi_50k.tiktoken"), names.PATTERN)
+
+
+# ------------------------------------------------------------- WARC fixity ---
+def page_records(pages: DataFrame) -> DataFrame:
+    """Pages as records of archive files of 500 page ids each, and what a damaged copy holds of them.
+
+    The damage follows from the ids: some records have a byte flipped, some are cut short, some are gone.
+    Repeated page ids follow each other by url and html; pages without id go to files by their url.
+    """
+    draw = F.conv(F.substring(F.md5(F.coalesce(F.col("page_id").cast("string"), F.lit(""))), 1, 7), 16, 10).cast("bigint")
+    body = F.coalesce(F.col("html"), F.lit(""))
+    hurt = (
+        F.when(draw % 97 == 5, F.concat(F.lit("#"), F.substring(body, 2, 2147483647)))
+        .when(draw % 389 == 7, F.substring(body, 1, 40))
+        .otherwise(body)
+    )
+    file = F.when(F.col("page_id").isNull(), F.concat(F.lit("pages-x"), F.substring(F.md5(F.coalesce("url", F.lit(""))), 1, 2)))
+    whole, damaged = warc.record(F.col("url"), body), warc.record(F.col("url"), hurt)
+    return pages.select(
+        "page_id",
+        F.coalesce(file, F.concat(F.lit("pages-"), F.floor(F.col("page_id") / 500).cast("string"))).alias("file"),
+        F.coalesce("url", F.lit("")).alias("url"),
+        F.octet_length(whole).cast("bigint").alias("length"),
+        F.sha2(whole, 256).alias("digest"),
+        F.octet_length(damaged).cast("bigint").alias("copy_length"),
+        F.sha2(damaged, 256).alias("copy_digest"),
+        (draw % 997 == 3).alias("gone"),
+    )
+
+
+@register(
+    "op2_warc_fixity",
+    r"""
+with draws as (
+    select page_id, coalesce(url, '') as url, coalesce(html, '') as body,
+        ('0x' || substring(md5(coalesce(page_id::varchar, '')), 1, 7))::bigint as draw
+    from pages),
+hurts as (
+    select *, case when draw % 97 = 5 then '#' || substring(body, 2) when draw % 389 = 7 then substring(body, 1, 40) else body end as hurt,
+        case when page_id is null then 'pages-x' || substring(md5(url), 1, 2) else 'pages-' || floor(page_id / 500)::bigint::varchar end as file
+    from draws),
+wholes as (
+    select page_id, url, draw, file,
+        'WARC/1.1' || e || 'WARC-Type: response' || e || 'WARC-Target-URI: ' || url || e || 'Content-Type: text/html' || e
+            || 'Content-Length: ' || strlen(body)::varchar || e || e || body || e || e as whole,
+        'WARC/1.1' || e || 'WARC-Type: response' || e || 'WARC-Target-URI: ' || url || e || 'Content-Type: text/html' || e
+            || 'Content-Length: ' || strlen(hurt)::varchar || e || e || hurt || e || e as other
+    from hurts, (select chr(13) || chr(10) as e)),
+rows_ as (
+    select *, coalesce(sum(strlen(whole)) over (partition by file order by page_id nulls first, url, sha256(whole)
+        rows between unbounded preceding and 1 preceding), 0)::bigint as start
+    from wholes)
+select page_id, file, start as "offset",
+    case when draw % 997 = 3 then 'missing' when strlen(whole) <> strlen(other) then 'resized' else 'corrupt' end as status,
+    strlen(whole)::bigint as length, case when draw % 997 <> 3 then strlen(other)::bigint end as copy_length,
+    sha256(whole) as digest, case when draw % 997 <> 3 then sha256(other) end as copy_digest
+from rows_ where draw % 997 = 3 or whole <> other
+""",
+)
+def _(spark, sf_dir):
+    rows = settle(warc.placed(page_records(table(spark, sf_dir, "pages")), "file", ["page_id", "url", "digest"]))
+    copy = rows.where("not gone").select("file", "offset", F.col("copy_length").alias("length"), F.col("copy_digest").alias("digest"))
+    found = warc.audit(rows.select("file", "offset", "length", "digest"), copy)
+    return found.join(rows.select("file", "offset", "page_id"), ["file", "offset"]).select("page_id", *found.columns)
+
+
+# ------------------------------------------------------------- URL filter ---
+RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
+#: Host labels whose pages make the list (fixed values of this query).
+UNWANTED = ["ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm"]
+
+
+@register(
+    "op6_url_filter",
+    r"""
+with parts as (
+    select page_id, url,
+        translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+        coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') as path,
+        regexp_extract(url, '(?s)^.*?://[^?#]*\?([^#]*)', 1) as query
+    from pages),
+named as (
+    select *, case when contains(url, '://') then
+        regexp_replace(regexp_replace(regexp_replace(host, ':(80|443)$', ''), '\.$', ''), '^www\.', '')
+        || regexp_replace(path, '/+$', '')
+        || coalesce('?' || nullif(array_to_string(list_sort(list_filter(string_split(query, '&'),
+            lambda p: p <> '' and not regexp_matches(p, '^(utm_[^=]*|ref|gclid|fbclid)(=|$)'))), '&'), ''), '') end as name
+    from parts),
+listed as (
+    select distinct name from named
+    where len(list_intersect(string_split(host, '.'), ['ads-track', 'adult-x', 'casino-win', 'cheap-pills', 'free-bets', 'spam-farm'])) > 0),
+rules(rule, rh, rp, verdict) as (values
+    ('org/', 'org', '/', 'allow'), ('example.org/es/', 'example.org', '/es/', 'block'), ('example.org/en/1', 'example.org', '/en/1', 'block'),
+    ('com/fr/', 'com', '/fr/', 'allow'), ('com/de/', 'com', '/de/', 'block'))
+select page_id, host, path,
+    (select r.rule from rules r where (host = r.rh or ends_with(host, '.' || r.rh)) and starts_with(path, r.rp) order by length(r.rule) desc limit 1) as rule,
+    name in (select name from listed) and name is not null as listed,
+    coalesce((select r.verdict from rules r where (host = r.rh or ends_with(host, '.' || r.rh)) and starts_with(path, r.rp) order by length(r.rule) desc limit 1),
+        case when name in (select name from listed) then 'block' else 'allow' end) as verdict
+from named
+""",
+)
+def _(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    labels = F.split(urls.host(F.col("url")), r"\.")
+    listed = pages.where(F.arrays_overlap(labels, F.array(*[F.lit(u) for u in UNWANTED])))
+    return urls.judge(pages, listed, RULES).select("page_id", "host", "path", "rule", "listed", "verdict")
+
+
+# ------------------------------------------------------------- mixing ---
+WEIGHTS = [3, 1, 2]
+
+
+@register(
+    "op8_mixing",
+    r"""
+with sized as (
+    select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as size,
+        md5(coalesce(doc_id::varchar, '') || ' ' || md5(coalesce(text, ''))) as key
+    from documents),
+sources as (
+    select source, sum(size)::bigint as source_size, [3, 1, 2][((row_number() over (order by source is null, source) - 1) % 3 + 1)::int] as w
+    from sized group by source),
+ratio as (select *, 2e0 * source_size as cap, 2e0 * source_size / w as ratio from sources),
+levels as (
+    select *, row_number() over o as place,
+        (1.5e0 * sum(source_size) over () - coalesce(sum(cap) over (o rows between unbounded preceding and 1 preceding), 0e0))
+            / sum(w) over (o rows between current row and unbounded following) as level
+    from ratio window o as (order by ratio, source is null, source)),
+served as (select min(place) as place, arg_min(level, place) as level from levels where level <= ratio),
+target as (
+    select l.source, source_size, least(cap, case when s.place is null or l.place < s.place then cap else w * s.level end) as target
+    from levels l left join served s on true),
+budget as (
+    select *, floor(target + 0.5e0)::bigint as b, case when source_size > 0 then floor(target + 0.5e0)::bigint // source_size else 0 end as epochs
+    from target),
+run as (
+    select s.doc_id, s.source, s.size, s.key, b.source_size, b.target, b.epochs, b.b - b.epochs * b.source_size as rest,
+        coalesce(sum(s.size) over (partition by s.source order by s.key range between unbounded preceding and current row), 0) as upto,
+        sum(s.size) over (partition by s.source, s.key) as own,
+        count(*) over (partition by s.source, s.key) as twins
+    from sized s join budget b on s.source is not distinct from b.source),
+part as (
+    select *, case when upto < rest then size
+        when upto - own < rest and rest <= upto and own > 0 then floor((rest - (upto - own)) / twins)::bigint
+        when upto = rest and own = 0 and rest > 0 then 0 else 0 end as partial
+    from run)
+select doc_id, source, size, source_size, target, (epochs * size + partial)::bigint as taken,
+    (epochs + case when partial > 0 and 2 * partial >= size then 1 else 0 end)::int as copies
+from part
+""",
+)
+def _(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixing.mix(docs, WEIGHTS).select("doc_id", "source", "size", "source_size", "target", "taken", "copies")
+
+
+# ------------------------------------------------------------- licences ---
+@register("op10_license_scan")
+def _(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return license.scan(docs, license.train(docs))
