@@ -9,7 +9,7 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm import bpe, license, mixing, urls, warc
+from tallyforge.llm import bpe, jaccard, license, mixing, urls, warc
 from tallyforge.session import settle
 
 QUERIES: dict = {}
@@ -210,3 +210,9 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return license.scan(docs, license.train(docs))
+
+
+# ------------------------------------------------------------- similarity join ---
+@register("op4_ngram_jaccard")
+def _(spark, sf_dir):
+    return jaccard.join_components(table(spark, sf_dir, "documents"), width=4, percent=85)
