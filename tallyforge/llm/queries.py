@@ -9,7 +9,8 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm import bpe, jaccard, license, mixing, urls, warc
+from tallyforge.llm import bpe, jaccard, langid, license, mixing, urls, warc
+from tallyforge.llm.common import remainder
 from tallyforge.session import settle
 
 QUERIES: dict = {}
@@ -216,3 +217,13 @@ def _(spark, sf_dir):
 @register("op4_ngram_jaccard")
 def _(spark, sf_dir):
     return jaccard.join_components(table(spark, sf_dir, "documents"), width=4, percent=85)
+
+
+# ------------------------------------------------------------- language ---
+@register("op3_language_id")
+def _(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held = remainder("doc_id", 5) == 0
+    models = langid.train(docs.where(~held))
+    asked = docs.select("doc_id", "text", held.alias("held_out"))
+    return langid.predict(asked, models, keep_text=False)
