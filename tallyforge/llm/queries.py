@@ -9,7 +9,7 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm import bpe, jaccard, langid, license, mixing, urls, warc
+from tallyforge.llm import bpe, jaccard, langid, license, mixing, quality, urls, warc
 from tallyforge.llm.common import remainder
 from tallyforge.session import settle
 
@@ -227,3 +227,12 @@ def _(spark, sf_dir):
     models = langid.train(docs.where(~held))
     asked = docs.select("doc_id", "text", held.alias("held_out"))
     return langid.predict(asked, models, keep_text=False)
+
+
+# ------------------------------------------------------------- quality ---
+@register("op9_quality_attention")
+def _(spark, sf_dir):
+    held = remainder("doc_id", 3) == 1
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(~held)
+    return quality.score(docs.withColumn("held_out", held), quality.train(docs, labels), keep_text=False)
