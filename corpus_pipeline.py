@@ -8,8 +8,7 @@ different texts stay different documents.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tallyforge.llm import bpe, jaccard, langid, mixing, quality
 from tallyforge.llm.queries import WEIGHTS, table, tokenizers
@@ -34,26 +33,8 @@ def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id; of repeated rows one.
-
-    A document without words is no copy of another. Rows without id are grouped like others; a group
-    that has no id at all keeps one row, that with the smallest text.
-    """
-    own = docs.select(*COLUMNS)
-    grouped = jaccard.join_components(own, SHINGLE, PERCENT)
-    named = grouped.where("doc_id is not null").select(F.col("doc_id").alias("_id"), F.col("component_id").alias("_least")).groupBy("_id").agg(F.min("_least").alias("_least"))
-    # an id's smallest component tells whether another id stands for it
-    others = named.where("_id <> _least").select("_id")
-    kept = own.where("doc_id is not null").join(others, F.col("doc_id") == F.col("_id"), "left_anti")
-    several = grouped.groupBy("doc_id").agg(F.count("*").alias("_rows")).where("_rows > 1 or doc_id is null").select(F.col("doc_id").alias("_id"))
-    single = kept.join(several, F.col("doc_id") == F.col("_id"), "left_anti")
-    repeated = kept.join(several, F.col("doc_id") == F.col("_id"), "left_semi")
-    first = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("text", "lang", "source", "n_chars")
-    once = repeated.withColumn("_at", F.row_number().over(first)).where("_at = 1").drop("_at")
-    bare = own.where("doc_id is null")
-    alone = Window.partitionBy(F.xxhash64("text")).orderBy("text", "lang", "source", "n_chars")
-    unnamed = bare.withColumn("_at", F.row_number().over(alone)).where("_at = 1").drop("_at")
-    return single.unionByName(once).unionByName(unnamed).select(*COLUMNS)
+    """Of each group of near copies the document with the smallest id; documents without words all stay."""
+    return jaccard.one_of_each(docs.select(*COLUMNS), SHINGLE, PERCENT)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -29,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyforge.llm.common import chunks, workers_import_here
@@ -259,16 +259,41 @@ def links(sets: DataFrame, percent: int) -> DataFrame:
     return first.unionByName(settle(verified(pairs, sets, percent)))
 
 
-def join_components(docs: DataFrame, width: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id) for every row of ``docs``."""
+def grouped_rows(docs: DataFrame, width: int, percent: int, doc_id: str, text: str) -> DataFrame:
+    """A row per row of ``docs``: doc_id, text_key, n, part (null without words) and least, the part's smallest id."""
     seen = document_sets(docs, width, doc_id, text)
     parts = components(links(linkable(docs, seen, width, percent, doc_id, text), percent)).select(F.col("node").alias("_node"), "component")
-    own = seen.where("kind = 0")
+    own = seen.where("kind = 0").select("doc_id", "text_key", "n", "node")
     nodes = own.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("_first"))
-    named = nodes.join(parts, F.col("node") == F.col("_node"), "left").select("node", "_first", F.coalesce("component", "node").alias("part"))
-    named = settle(named)
-    least = named.groupBy("part").agg(F.min("_first").alias("_least"))
-    labels = named.join(least, "part").select(F.col("node").alias("_node"), "_least")
-    full = own.where("n > 0").join(labels, F.col("node") == F.col("_node")).select("doc_id", F.col("n").cast("bigint").alias("n_shingles"), F.col("_least").alias("component_id"))
-    bare = own.where("n = 0").select("doc_id", F.lit(0).cast("bigint").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    named = settle(nodes.join(parts, F.col("node") == F.col("_node"), "left").select("node", "_first", F.coalesce("component", "node").alias("part")))
+    least = named.groupBy("part").agg(F.min("_first").alias("least"))
+    labels = named.join(least, "part").select(F.col("node").alias("_node"), "part", "least")
+    full = own.where("n > 0").join(labels, F.col("node") == F.col("_node")).select("doc_id", "text_key", "n", "part", "least")
+    bare = own.where("n = 0").select("doc_id", "text_key", "n", F.lit(None).cast("bigint").alias("part"), F.col("doc_id").alias("least"))
     return full.unionByName(bare)
+
+
+def join_components(docs: DataFrame, width: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, n_shingles, component_id) for every row of ``docs``."""
+    rows = grouped_rows(docs, width, percent, doc_id, text)
+    return rows.select("doc_id", F.col("n").cast("bigint").alias("n_shingles"), F.col("least").alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one row of each component: that of the smallest id (null last), then of the least other columns.
+
+    Rows without words are in no component and stay. The rows to drop are found on ids and hashes of the
+    texts; the texts themselves are only looked through once more.
+    """
+    rows = settle(grouped_rows(docs, width, percent, doc_id, text).where("n > 0"))
+    chosen = rows.groupBy("part").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("_c")).select(F.col("part").alias("_part"), F.col("_c.doc_id").alias("_id"), F.col("_c.text_key").alias("_key"))
+    placed = rows.join(chosen, F.col("part") == F.col("_part"))
+    stays = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key"))
+    lost = placed.where(~stays).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
+    again = placed.where(stays).groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).agg(F.count("*").alias("_n")).where("_n > 1").drop("_n")
+    keyed = docs.withColumns({"_row_id": F.col(doc_id).cast("bigint"), "_text_key": F.xxhash64(text)})
+    same = F.col("_text_key").eqNullSafe(F.col("_key")) & F.col("_row_id").eqNullSafe(F.col("_id"))
+    kept = keyed.join(lost, same, "left_anti")
+    first = Window.partitionBy("_row_id", "_text_key").orderBy(*[F.col(c) for c in docs.columns])
+    once = kept.join(again, same, "left_semi").withColumn("_at", F.row_number().over(first)).where("_at = 1")
+    return kept.join(again, same, "left_anti").unionByName(once.drop("_at")).select(*docs.columns)
