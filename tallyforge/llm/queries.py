@@ -9,7 +9,7 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm import bpe, jaccard, langid, license, mixing, quality, urls, warc
+from tallyforge.llm import bpe, digest, forest, jaccard, langid, license, mixing, quality, urls, warc
 from tallyforge.llm.common import remainder
 from tallyforge.session import settle
 
@@ -236,3 +236,15 @@ def _(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").where(~held)
     return quality.score(docs.withColumn("held_out", held), quality.train(docs, labels), keep_text=False)
+
+
+# ------------------------------------------------------------- fingerprints ---
+@register("op5_quartile_digest")
+def _(spark, sf_dir):
+    return digest.against_next(table(spark, sf_dir, "documents"))
+
+
+# ------------------------------------------------------------- neighbours ---
+@register("op7_prefix_forest")
+def _(spark, sf_dir):
+    return forest.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
