@@ -1,6 +1,6 @@
 """Prior-window count, median and same-value count for users of any size.
 
-Every answer is a rank question over a user's rows in time order, so no window
+A group is a user and a period. Every answer is a rank question over its rows in time order, so no window
 is ever held: row positions and window starts come from running counts, and the
 median and close-value counts descend one bit of the value's code per round.
 Each round is a range-partitioned running count, so a user's rows spread over
@@ -9,7 +9,7 @@ as many tasks as their number needs, and the work is rows x bits, not rows x win
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.operators.ordering import running_totals
@@ -17,30 +17,50 @@ from tallyforge.session import settle
 
 
 def _positions(rows: DataFrame, window_us: int) -> DataFrame:
-    """Add ``pos`` (rank by time) and ``start`` (rank of the first row inside the window)."""
-    own = rows.select("u", F.struct(F.col("ts").alias("k"), F.lit(1).alias("tag"), "id").alias("o"), F.lit(1).alias("w"))
-    opens = rows.select(
-        "u", F.struct((F.col("ts") - window_us).alias("k"), F.lit(0).alias("tag"), "id").alias("o"), F.lit(0).alias("w")
+    """Ranks by time of each row and of the first row inside its window: among all rows of the group
+    (``pos``, ``start``) and among those with a value (``vpos``, ``vstart``)."""
+    valued = F.col("v").isNotNull().cast("int")
+    own = rows.select(
+        "u", F.struct(F.col("ts").alias("k"), F.lit(1).alias("tag"), "id").alias("o"), F.lit(1).alias("w"), valued.alias("x")
     )
-    ranked = running_totals(own.unionByName(opens), ["u"], "o", {"n": F.col("w")})
+    opens = rows.where("own").select(
+        "u", F.struct((F.col("ts") - window_us).alias("k"), F.lit(0).alias("tag"), "id").alias("o"), F.lit(0).alias("w"), F.lit(0).alias("x")
+    )
+    ranked = running_totals(own.unionByName(opens), ["u"], "o", {"n": F.col("w"), "m": F.col("x")})
+    at = lambda tag, c: F.max(F.when(F.col("o.tag") == tag, F.col(c)))
     return ranked.groupBy("u", F.col("o.id").alias("id")).agg(
-        F.max(F.when(F.col("o.tag") == 1, F.col("n_before"))).alias("pos"),
-        F.max(F.when(F.col("o.tag") == 0, F.col("n_before"))).alias("start"),
+        at(1, "n_before").alias("pos"), at(0, "n_before").alias("start"), at(1, "m_before").alias("vpos"), at(0, "m_before").alias("vstart")
+    )
+
+
+def _border(v: Column, slack: Column, up: bool) -> Column:
+    """The outermost double ``p`` on one side of ``v`` for which ``abs(p - v) <= slack`` holds.
+
+    ``v + slack`` rounds, so the border may lie some units in the last place beside it: steps of at most one
+    such unit are tried, of that of the border and that of the larger of the two numbers.
+    """
+    near = v + slack if up else v - slack
+    unit = F.lit(2.0**-53)
+    tries = F.transform(
+        F.sequence(F.lit(-8), F.lit(8)),
+        lambda k: F.array(near + k * unit * F.abs(near), near + k * unit * F.greatest(F.abs(v), slack)),
     )
+    held = F.filter(F.flatten(tries), lambda c: F.abs(c - v) <= slack)
+    return F.array_max(held) if up else F.array_min(held)
 
 
 def _codes(rows: DataFrame, close_abs: float, close_rel: float) -> DataFrame:
-    """Per user and distinct value: its dense code and the code range of close values."""
-    distinct = rows.select("u", "v").distinct()
+    """Per group and distinct value: its dense code and the code range of close values."""
+    distinct = rows.where(F.col("v").isNotNull()).select("u", "v").distinct()
     slack = F.lit(close_abs) + F.abs("v") * F.lit(close_rel)
     marks = distinct.select(
         "u",
         "v",
         F.explode(
             F.array(
-                F.struct((F.col("v") - slack).alias("k"), F.lit(0).alias("tag"), F.lit(0).alias("w")),
+                F.struct(_border(F.col("v"), slack, False).alias("k"), F.lit(0).alias("tag"), F.lit(0).alias("w")),
                 F.struct(F.col("v").alias("k"), F.lit(1).alias("tag"), F.lit(1).alias("w")),
-                F.struct((F.col("v") + slack).alias("k"), F.lit(2).alias("tag"), F.lit(0).alias("w")),
+                F.struct(_border(F.col("v"), slack, True).alias("k"), F.lit(2).alias("tag"), F.lit(0).alias("w")),
             )
         ).alias("m"),
     ).select("u", F.struct("m.k", "m.tag", "v").alias("o"), F.col("m.w").alias("w"))
@@ -95,21 +115,25 @@ def _descend(elements: DataFrame, asks: DataFrame, bit: int) -> tuple[DataFrame,
 
 
 def busy_prior_window(rows: DataFrame, window_us: int, close_abs: float, close_rel: float) -> DataFrame:
-    """``rows`` (u, ts, v, id) to (id, n_prior, median_prior, n_same)."""
+    """``rows`` (u, ts, v, id, own) to (id, n_prior, median_prior, n_same) of those that are ``own``.
+
+    ``u`` is the group, whose other rows are only seen.
+    """
     codes = settle(_codes(rows, close_abs, close_rel))
-    placed = settle(rows.join(_positions(rows, window_us), ["u", "id"]).join(codes, ["u", "v"]))
-    size = F.col("pos") - F.col("start")
-    elements = placed.select("u", F.lit(0).cast("bigint").alias("node"), "pos", "code")
+    placed = rows.join(_positions(rows, window_us), ["u", "id"])
+    placed = settle(placed.join(codes, ["u", "v"], "left"))
+    size = F.col("vpos") - F.col("vstart")
+    elements = placed.where(F.col("code").isNotNull()).select("u", F.lit(0).cast("bigint").alias("node"), F.col("vpos").alias("pos"), "code")
     ask = lambda kind, select, want: F.struct(
         F.lit(kind).alias("kind"), F.lit(select).alias("select"), want.cast("bigint").alias("want")
     )
     asks = (
-        placed.where(size > 0)
+        placed.where(F.col("own") & (size > 0))
         .select(
             "u",
             "id",
-            F.col("start").alias("l"),
-            F.col("pos").alias("r"),
+            F.col("vstart").alias("l"),
+            F.col("vpos").alias("r"),
             F.explode(
                 F.array(
                     ask("lo", True, F.floor((size - 1) / 2)),
@@ -119,6 +143,7 @@ def busy_prior_window(rows: DataFrame, window_us: int, close_abs: float, close_r
                 )
             ).alias("a"),
         )
+        .where("a.want is not null")
         .select("u", "id", "a.*", "l", "r", F.lit(0).cast("bigint").alias("node"), F.lit(0).cast("bigint").alias("acc"))
     )
     widest = codes.agg(F.max("code_to").alias("m")).first()["m"] or 0
@@ -131,7 +156,7 @@ def busy_prior_window(rows: DataFrame, window_us: int, close_abs: float, close_r
         F.max(F.when(F.col("kind") == "below", F.col("acc"))).alias("below"),
         F.max(F.when(F.col("kind") == "upto", F.col("acc"))).alias("upto"),
     )
-    return placed.select("id", size.alias("n_prior")).join(found, "id", "left").select(
+    return placed.where("own").select("id", (F.col("pos") - F.col("start")).alias("n_prior")).join(found, "id", "left").select(
         "id",
         "n_prior",
         ((F.col("lo") + F.col("hi")) / 2).alias("median_prior"),

@@ -11,6 +11,7 @@ from tallyforge import schemas as S
 from tallyforge.functions.receipts import items_subtotal, micros
 from tallyforge.operators.ordering import category_codes, exact_median, split_at
 from tallyforge.operators.windows import BUSY_ROWS, prior_window
+from tallyforge.session import settle
 
 CODED = ["payment_method", "scanner_version"]
 
@@ -26,9 +27,9 @@ class Reference:
     codes: DataFrame
 
 
-def _prices(receipts: DataFrame) -> DataFrame:
-    return receipts.select("receipt_id", F.explode("items").alias("it")).select(
-        "receipt_id", F.col("it.sku").alias("sku"), F.col("it.unit_price").alias("unit_price")
+def _prices(receipts: DataFrame, key: str = "receipt_id") -> DataFrame:
+    return receipts.select(key, F.explode("items").alias("it")).select(
+        key, F.col("it.sku").alias("sku"), F.col("it.unit_price").alias("unit_price")
     )
 
 
@@ -40,19 +41,19 @@ def fit_reference(receipts: DataFrame) -> Reference:
     return Reference(sku_median_prices(receipts), category_codes(receipts, CODED))
 
 
-def price_ratios(receipts: DataFrame, medians: DataFrame) -> DataFrame:
-    """Largest price over SKU median per receipt; a SKU without a median compares with itself.
+def price_ratios(receipts: DataFrame, medians: DataFrame, key: str = "receipt_id") -> DataFrame:
+    """Largest price over SKU median per ``key``; a SKU without a median compares with itself.
 
-    Repeated (receipt, SKU) lines fold to their highest price before the join. The
+    Repeated (key, SKU) lines fold to their highest price before the join. The
     median side is broadcast only if it measures small; else hot SKUs are split at run time.
     """
-    folded = _prices(receipts).groupBy("receipt_id", "sku").agg(F.max("unit_price").alias("price"))
+    folded = _prices(receipts, key).groupBy(key, "sku").agg(F.max("unit_price").alias("price"))
     m = medians.select(F.col("sku").alias("_sku"), "median_price")
     own = F.when(F.col("price") == 0, F.lit(1.0)).otherwise(F.col("price"))
     ratio = F.try_divide(F.col("price"), F.coalesce("median_price", own))
     return (
         folded.join(m, F.col("sku") == F.col("_sku"), "left")
-        .groupBy("receipt_id")
+        .groupBy(key)
         .agg(F.max(ratio).alias("max_price_ratio_vs_sku_median"))
     )
 
@@ -82,19 +83,17 @@ def build_features(
     receipts: DataFrame, reference: Reference | None = None, busy_rows: int = BUSY_ROWS
 ) -> DataFrame:
     """ids, the 22 model columns as doubles, and labels when present."""
+    # Stored once with a number per row: an id may come more than once, and all of this reads the batch again.
+    receipts = settle(receipts.withColumn("_row", F.monotonically_increasing_id()))
     ref = reference or fit_reference(receipts)
     ts = micros(F.col("submitted_at"))
     total = F.coalesce("total", F.lit(0.0))
     base = item_features(receipts).withColumns({"_ts": ts, "total": total})
     newest = receipts.agg(F.max(ts).alias("m")).scalar()
 
-    behaviour = prior_window(
-        receipts.select("receipt_id", "user_id", ts.alias("_ts"), total.alias("_total")),
-        "user_id", "_ts", "_total", "receipt_id", busy_rows=busy_rows,
-    )
-    joined = base.join(price_ratios(receipts, ref.sku_medians), "receipt_id", "left").join(
-        behaviour, "receipt_id", "left"
-    )
+    asked = receipts.select(F.struct("receipt_id", "_row").alias("_row"), "user_id", ts.alias("_ts"), total.alias("_total"))
+    behaviour = prior_window(asked, "user_id", "_ts", "_total", "_row", busy_rows=busy_rows).withColumn("_row", F.col("_row._row"))
+    joined = base.join(price_ratios(receipts, ref.sku_medians, "_row"), "_row", "left").join(behaviour, "_row", "left")
     for name in CODED:
         codes = ref.codes.where(F.col("name") == name).select(
             F.col("value").alias(name), F.col("code").alias(f"{name}_code")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.functions import receipts as R
-from tallyforge.functions.exact import exact_avg, exact_sum
+from tallyforge.functions.exact import decimal_sum, exact_avg, exact_sum
 
 
 def _failing(flag: str = "fails_reconciliation"):
@@ -41,7 +41,6 @@ def review_queue(facts: DataFrame, dim_store: DataFrame) -> DataFrame:
                 F.col("image_quality"), F.col("max_qty"), F.col("total_residual_pct"), F.col("max_unit_price")
             ).alias("rule_based_hint"),
         )
-        .orderBy(F.desc("anomaly_score"))
     )
 
 
@@ -53,12 +52,12 @@ def store_health(facts: DataFrame, dim_store: DataFrame) -> DataFrame:
     """
     folded = facts.groupBy("submitted_date", "store_id", "store_key").agg(
         F.count(F.lit(1)).alias("n_receipts"),
-        exact_sum(F.col("reported_total")).alias("_gross"),
-        exact_sum(F.col("image_quality")).alias("_quality"),
+        decimal_sum(F.col("reported_total")).alias("_gross"),
+        decimal_sum(F.col("image_quality")).alias("_quality"),
         F.count("image_quality").alias("_n_quality"),
         _failing().alias("_failing"),
         F.sum("is_flagged").alias("_flagged"),
-        exact_sum(F.col("anomaly_score"), 9).alias("_score"),
+        decimal_sum(F.col("anomaly_score")).alias("_score"),
         F.count("anomaly_score").alias("_n_score"),
     )
     attrs = dim_store.select("store_key", "region", "store_format", "manager_id")
@@ -74,7 +73,7 @@ def store_health(facts: DataFrame, dim_store: DataFrame) -> DataFrame:
             R.rate(F.sum("_failing"), n).alias("reconciliation_failure_rate"),
             F.sum("_flagged").alias("n_flagged"),
             R.rate(F.sum("_flagged"), n).alias("flag_rate"),
-            R.rate(exact_sum(F.col("_score"), 9), F.sum("_n_score")).alias("avg_anomaly_score"),
+            R.rate(exact_sum(F.col("_score")), F.sum("_n_score")).alias("avg_anomaly_score"),
         )
     )
 
@@ -129,7 +128,7 @@ def health_by_region_format(health: DataFrame) -> DataFrame:
         .agg(
             F.sum("n_receipts").alias("n_receipts"),
             R.rate(F.sum("n_flagged"), F.sum("n_receipts")).alias("flag_rate"),
-            exact_avg(F.col("avg_image_quality"), 9).alias("avg_image_quality"),
+            exact_avg(F.col("avg_image_quality")).alias("avg_image_quality"),
         )
         .orderBy(F.desc("n_receipts"), "region", "store_format")
     )

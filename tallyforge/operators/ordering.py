@@ -17,13 +17,6 @@ from tallyforge.session import settle
 _SLICE = "_slice"
 
 
-def _match(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
-    cond = F.lit(True)
-    for n in names:
-        cond = cond & left[n].eqNullSafe(right[n])
-    return cond
-
-
 def running_totals(df: DataFrame, keys: list[str], order: str, measures: dict[str, Column]) -> DataFrame:
     """One row per (keys, order) with each measure's sum, the sum over smaller
     ``order`` values of the key (``<m>_before``) and the key's whole (``<m>_all``).
@@ -86,42 +79,51 @@ def exact_median(df: DataFrame, keys: list[str], value: str, name: str) -> DataF
     return found.select(*keys, F.col("quantiles")[0].alias(name))
 
 
+#: Cut value that stands for the rows without an order value; they come after all others.
+NO_VALUE = object()
+
+
+def _at_value(order: str, value) -> Column:
+    return F.col(order).isNull() if value is NO_VALUE else F.coalesce(F.col(order) == F.lit(value), F.lit(False))
+
+
 def order_cuts(df: DataFrame, order: str, tiebreak: str, ks: list, descending: bool = False) -> list[tuple]:
     """For each wanted count, the cut ``(value, tie, k)``: the first k rows by (order, tiebreak)
     are those beyond ``value`` plus those at ``value`` whose tiebreak is at most ``tie``.
 
-    ``ks`` are functions from the number of rows (a column) to k (a column). ``tie`` is
-    None when all rows at ``value`` belong to the first k. Only these few values leave
-    the cluster; rows tied at a cut are ranked among themselves by ``tiebreak``, so
+    Rows without an order value are last, in either direction. ``ks`` are functions from the number of rows
+    (a column) to k (a column). ``tie`` is None when all rows at ``value`` belong to the first k. Only
+    these few values leave the cluster; rows tied at a cut are ranked among themselves by ``tiebreak``, so
     one value may hold any share of the rows.
     """
-    ranked = running_totals(df, [], order, {"n": F.lit(1)})
+    has = F.col(order).isNotNull()
+    placed = df.select(F.struct((has if descending else ~has).alias("end"), F.col(order).alias("value")).alias("_o"))
+    ranked = running_totals(placed, [], "_o", {"n": F.lit(1)})
     first = F.col("n_all") - F.col("n_before") - F.col("n") if descending else F.col("n_before")
     hits = [
         F.when((first < k(F.col("n_all"))) & (k(F.col("n_all")) <= first + F.col("n")), F.struct(F.lit(i).alias("i"), k(F.col("n_all")).cast("bigint").alias("k")))
         for i, k in enumerate(ks)
     ]
-    found = (
-        ranked.select(F.col(order).alias("value"), first.alias("first"), "n", F.explode(F.array_compact(F.array(*hits))).alias("h"))
-        .select("value", "first", "n", "h.i", "h.k")
+    found = [
+        {"value": NO_VALUE if r["missing"] else r["value"], "first": r["first"], "n": r["n"], "i": r["i"], "k": r["k"]}
+        for r in ranked.select(
+            F.col("_o.value").alias("value"), F.col("_o.value").isNull().alias("missing"), first.alias("first"), "n", F.explode(F.array_compact(F.array(*hits))).alias("h")
+        )
+        .select("value", "missing", "first", "n", "h.i", "h.k")
         .collect()
-    )
+    ]
     cuts: list[tuple] = [(None, None, 0)] * len(ks)
-    open_values = {r["value"] for r in found if r["k"] - r["first"] < r["n"]}
+    open_cuts = [r for r in found if r["k"] - r["first"] < r["n"]]
     ties = {}
-    if open_values:
-        tied = df.where(F.col(order).isin([F.lit(v) for v in open_values]))
-        places = running_totals(tied, [order], tiebreak, {"n": F.lit(1)})
-        wanted = F.lit(False)
-        for r in found:
+    if open_cuts:
+        tied_at, wanted = F.lit(False), F.lit(False)
+        for r in open_cuts:
             need = r["k"] - r["first"]
-            wanted = wanted | (
-                (F.col(order) == F.lit(r["value"]))
-                & (F.col("n_before") < need)
-                & (F.lit(need) <= F.col("n_before") + F.col("n"))
-            )
+            tied_at = tied_at | _at_value(order, r["value"])
+            wanted = wanted | (_at_value(order, r["value"]) & (F.col("n_before") < need) & (F.lit(need) <= F.col("n_before") + F.col("n")))
+        places = running_totals(df.where(tied_at), [order], tiebreak, {"n": F.lit(1)})
         for p in places.where(wanted).select(F.col(order).alias("value"), F.col(tiebreak).alias("tie"), "n_before", "n").collect():
-            ties.setdefault(p["value"], []).append(p)
+            ties.setdefault(NO_VALUE if p["value"] is None else p["value"], []).append(p)
     for r in found:
         need = r["k"] - r["first"]
         tie = None
@@ -132,17 +134,20 @@ def order_cuts(df: DataFrame, order: str, tiebreak: str, ks: list, descending: b
 
 
 def before_cut(order: str, tiebreak: str, cut: tuple, descending: bool = False) -> Column:
-    """Whether a row is among the first k of a cut."""
+    """Whether a row is among the first k of a cut; never null."""
     value, tie, _ = cut
     if value is None:
         return F.lit(False)
-    beyond = F.col(order) > F.lit(value) if descending else F.col(order) < F.lit(value)
-    at = F.col(order) == F.lit(value)
-    return beyond | (at if tie is None else at & (F.col(tiebreak) <= F.lit(tie)))
+    if value is NO_VALUE:
+        beyond = F.col(order).isNotNull()
+    else:
+        beyond = F.coalesce(F.col(order) > F.lit(value) if descending else F.col(order) < F.lit(value), F.lit(False))
+    at = _at_value(order, value)
+    return beyond | (at if tie is None else at & F.coalesce(F.col(tiebreak) <= F.lit(tie), F.lit(False)))
 
 
 def split_at(df: DataFrame, order: str, tiebreak: str, k, descending: bool = False):
-    """(first k rows, the rest) by (order, tiebreak); ids must be unique.
+    """(first k rows, the rest) by (order, tiebreak), rows without an order value last; ids must be unique.
 
     ``k`` is a number or a function from the row count (a column) to a column.
     """

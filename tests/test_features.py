@@ -41,11 +41,48 @@ def brute(rows, hours):
     out = {}
     for u, ts, v, rid in rows:
         prior = [w for uu, t2, w, r2 in rows if uu == u and ts - hours * 3600 * 10**6 <= t2 and (t2, r2) < (ts, rid)]
-        same = sum(abs(w - v) <= 0.01 + 1e-5 * abs(v) for w in prior)
-        out[rid] = (len(prior), statistics.median(prior) if prior else None, same)
+        valued = [w for w in prior if w is not None]
+        same = 0 if v is None else sum(abs(w - v) <= 0.01 + 1e-5 * abs(v) for w in valued)
+        out[rid] = (len(prior), statistics.median(valued) if valued else None, same)
     return out
 
 
+def test_all_limits_agree_at_the_border_and_on_missing_values(spark):
+    """Totals whose distance is the slack itself, where rounding decides, and rows without a value."""
+    rng = random.Random(8)
+    day = 24 * 3600 * 10**6
+    rows = []
+    for i, v in enumerate([4000.0, 5000.0, 8000.0, 9000.0, 10000.0, 0.5, 123.45, 1e7, -4000.0, 0.0]):
+        slack = 0.01 + 1e-5 * abs(v)
+        for j, w in enumerate([v, v + slack, v - slack, round(v + slack, 2), round(v - slack, 2), v + 1.5 * slack, None]):
+            rows.append((f"u{i % 2}", rng.randrange(0, 3 * day, day // 48), w, i * 100 + j))
+    rows += [("u0", -day - 5, 7.0, 9001), ("u0", -day - 5, 7.0, 9002), ("u0", -5, 7.0, 9003), (None, 3, 1.0, 9004)]
+    df = spark.createDataFrame(rows, "u string, ts bigint, v double, rid bigint")
+    want = brute([r for r in rows if r[0]], 24)
+    for limit in (0, 20, 2000, None):
+        got = {r["rid"]: (r["n_prior"], r["median_prior"], r["n_same"]) for r in prior_window(df, "u", "ts", "v", "rid", busy_rows=limit).collect()}
+        assert got.keys() == want.keys()
+        for k, (n, median, same) in want.items():
+            assert got[k] == (n, None if median is None else pytest.approx(median, rel=1e-12), same), (limit, k)
+
+
+def test_repeated_ids_do_not_multiply(spark):
+    three = hand_case(spark)
+    rows = three.unionByName(three.where("receipt_id = 'b'")).unionByName(three.where("receipt_id = 'b'"))
+    got = features.build_features(rows).collect()
+    assert sorted(r["receipt_id"] for r in got) == ["a", "b", "b", "b", "c"]
+    assert sorted(r["user_receipts_prior_24h"] for r in got) == [0, 1, 2, 3, 4]
+
+
+@pytest.mark.parametrize("descending", [False, True])
+def test_split_keeps_rows_without_a_value_and_puts_them_last(spark, descending):
+    df = spark.createDataFrame([(None, "b"), (3, "c"), (None, "a"), (1, "d")], "ts int, id string")
+    order = (["c", "d"] if descending else ["d", "c"]) + ["a", "b"]
+    for k in range(5):
+        first, rest = split_at(df, "ts", "id", k, descending=descending)
+        assert {r["id"] for r in first.collect()} == set(order[:k]) and {r["id"] for r in rest.collect()} == set(order[k:])
+
+
 @pytest.mark.parametrize("busy_rows", [10**6, 20])
 def test_prior_window_against_brute_force_with_one_dominant_user(spark, busy_rows):
     rng = random.Random(3)
