@@ -358,7 +358,8 @@ def parsed_sql(source: str) -> dict[str, str]:
             max({money_sql(f"regexp_extract(s.line, {q(RT.SUBTOTAL_LINE)}, 1)")}) as subtotal,
             max({money_sql(f"regexp_extract(x.line, {TAX_PLAIN}, 1)")}) as tax,
             max({money_sql(f"regexp_extract(t.line, {q(RT.TOTAL_LINE)}, 2)")}) as read_total, bool_or(t.no is not null) as total_was_read
-            from firsts2 f left join rest r on r.receipt_id = f.receipt_id
+            from (select distinct receipt_id, t, s, x from {source} left join firsts2 using (receipt_id)) f
+            left join rest r on r.receipt_id = f.receipt_id
             left join lines3 t on t.receipt_id = f.receipt_id and t.no = f.t
             left join lines3 s on s.receipt_id = f.receipt_id and s.no = f.s
             left join lines3 x on x.receipt_id = f.receipt_id and x.no = f.x group by f.receipt_id""",
@@ -370,7 +371,7 @@ PARSED_COLUMNS = "receipt_id, n_items, n_unparsed, computed_cents, subtotal, tax
 
 def parsed(df):
     p = receipt_text.parse_receipt_texts(df)
-    return p.where((F.size("unparsed") > 0) | (F.size("items") > 0) | F.col("total_was_read") | F.col("subtotal").isNotNull() | F.col("tax").isNotNull()).select(
+    return p.select(
         "receipt_id",
         F.size("items").cast("int").alias("n_items"),
         F.size("unparsed").cast("int").alias("n_unparsed"),

@@ -8,7 +8,6 @@ tasks then look rows up batch by batch.
 
 from __future__ import annotations
 
-from itertools import combinations
 from math import factorial
 
 import numpy as np
@@ -54,17 +53,19 @@ def _leaves(nodes: dict[int, dict], weight: float):
 def _shares(value: float, kept: list[float]) -> np.ndarray:
     """[pattern, feature slot]: Shapley share when the pattern's bits mark satisfied features."""
     d = len(kept)
+    met = (np.arange(2**d)[:, None] >> np.arange(d) & 1).astype(float)
+    weight = np.array([factorial(k) * factorial(d - k - 1) / factorial(d) for k in range(d)])
     table = np.zeros((2**d, d))
-    for pattern in range(2**d):
-        met = [(pattern >> g) & 1 for g in range(d)]
-        for f in range(d):
-            others = [g for g in range(d) if g != f]
-            total = 0.0
-            for size in range(d):
-                w = factorial(size) * factorial(d - size - 1) / factorial(d)
-                for inside in combinations(others, size):
-                    total += w * np.prod([met[g] if g in inside else kept[g] for g in others])
-            table[pattern, f] = value * total * (met[f] - kept[f])
+    for f in range(d):
+        # by size of the known set: the sum over sets of the other features, one feature at a time
+        sums = np.zeros((2**d, d))
+        sums[:, 0] = 1.0
+        for g in range(d):
+            if g != f:
+                grown = sums * kept[g]
+                grown[:, 1:] += sums[:, :-1] * met[:, g : g + 1]
+                sums = grown
+        table[:, f] = value * (sums @ weight) * (met[:, f] - kept[f])
     return table
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 LANDING_SETS = [
@@ -68,15 +68,21 @@ def topic_records(receipts: DataFrame) -> DataFrame:
     )
 
 
-def publish(receipts: DataFrame, bootstrap_servers: str, topic: str) -> None:
-    """Publish to a Kafka-protocol topic (needs the Spark Kafka connector on the classpath)."""
+def publish(receipts: DataFrame, bootstrap_servers: str, topic: str) -> int:
+    """Publish to a Kafka-protocol topic (needs the Spark Kafka connector on the classpath).
+
+    Returns the number of records: the write fails if the topic does not acknowledge one.
+    """
+    sent = Observation()
     (
         topic_records(receipts)
+        .observe(sent, F.count(F.lit(1)).alias("n"))
         .write.format("kafka")
         .option("kafka.bootstrap.servers", bootstrap_servers)
         .option("topic", topic)
         .save()
     )
+    return sent.get["n"]
 
 
 def write_report(one_row: DataFrame, path: str) -> None:

@@ -1,14 +1,17 @@
 """Topic or file stream into the landing zone.
 
-Each micro-batch replaces its own ``batch=<id>`` folder, so a replay after a
-failure writes the same folder again: offsets advance only past written rows,
-and nothing lands twice.
+Each micro-batch replaces its own ``run=<query>/batch=<id>`` folder, so a replay after a failure writes the
+same folder again: offsets advance only past written rows, and nothing lands twice. The query's id is kept
+in its checkpoint; a new checkpoint counts its batches anew, in a run folder of its own.
 """
 
 from __future__ import annotations
 
+import json
+import time
 from dataclasses import dataclass
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -68,9 +71,14 @@ def dead_letters(decoded: DataFrame) -> DataFrame:
     return decoded.where(F.col(_BAD)).select(F.col(_MESSAGE).alias("value"))
 
 
-def without_redeliveries(stream: DataFrame, event_time: str = "submitted_at", within: str = "1 day") -> DataFrame:
-    """Drop repeats of an id inside the watermark; later ones are left to the silver dedupe."""
-    return stream.withWatermark(event_time, within).dropDuplicatesWithinWatermark(["receipt_id"])
+def without_redeliveries(stream: DataFrame, within: str = "1 day") -> DataFrame:
+    """Drop repeats of an id that arrive within this time of each other.
+
+    The watermark follows the time of arrival, not the receipt's own stamp: a skewed clock makes no row
+    late, so none is lost. Repeats that come later are left to the silver dedupe.
+    """
+    arrived = stream.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", within)
+    return arrived.dropDuplicatesWithinWatermark(["receipt_id"]).drop("_arrived")
 
 
 def drain(
@@ -83,24 +91,38 @@ def drain(
     gate_as_of=None,
     quarantine: str | None = None,
     timeout_s: int | None = None,
+    enough: int | None = None,
 ) -> Drained:
     """Land everything available now, then stop; restartable from ``checkpoint``.
 
     With ``quarantine`` the contract gate runs on each micro-batch and its rejects
-    go there instead of the landing folder.
+    go there instead of the landing folder. With ``enough`` the drain stops after the
+    batch that reaches so many messages; the source's limit sets the size of a batch,
+    and the next drain takes up the rest.
     """
     spark = messages.sparkSession
+    counts: dict[int, Drained] = {}
+    run: list[str] = []
 
     def land(batch: DataFrame, batch_id: int) -> None:
+        if enough is not None and sum(c.received for b, c in counts.items() if b != batch_id) >= enough:
+            raise _Enough
+        if not run:
+            lines = spark.read.text(f"{checkpoint.rstrip('/')}/metadata").collect()
+            run.append(json.loads(lines[-1]["value"])["id"])
+        folder = f"run={run[0]}/batch={batch_id}"
         decoded = decode(batch, schema, key).persist()
         try:
             rows = good(decoded)
             if quarantine:
                 clean, held = split_quarantine(rows, gate_as_of)
-                held.write.mode("overwrite").parquet(f"{quarantine}/batch={batch_id}")
+                held.write.mode("overwrite").parquet(f"{quarantine}/{folder}")
                 rows = clean
-            rows.write.mode("overwrite").parquet(f"{landing}/batch={batch_id}")
-            dead_letters(decoded).write.mode("overwrite").parquet(f"{dead_letter}/batch={batch_id}")
+            rows.write.mode("overwrite").parquet(f"{landing}/{folder}")
+            dead_letters(decoded).write.mode("overwrite").parquet(f"{dead_letter}/{folder}")
+            landed = spark.read.schema(schema).parquet(f"{landing}/{folder}").count()
+            seen = decoded.agg(F.count("*").alias("n"), F.count_if(F.col(_BAD)).alias("bad")).first()
+            counts[batch_id] = Drained(seen["n"], landed, seen["bad"])
         finally:
             decoded.unpersist()
 
@@ -110,26 +132,21 @@ def drain(
         .trigger(availableNow=True)
         .start()
     )
-    if timeout_s:
-        query.awaitTermination(timeout_s)
+    until = None if timeout_s is None else time.monotonic() + timeout_s
+    try:
+        while query.isActive and (until is None or time.monotonic() < until):
+            query.awaitTermination(1)
         query.stop()
-    else:
-        query.awaitTermination()
-    progress = [p for p in query.recentProgress if p["numInputRows"] > 0]
-    received = sum(p["numInputRows"] for p in progress)
-    batches = {p["batchId"] for p in progress}
-    if not batches:
-        return Drained(0, 0, 0)
-
-    def written(root: str, columns: T.StructType) -> int:
-        folders = [f"{root}/batch={b}" for b in sorted(batches)]
-        return spark.read.schema(columns).parquet(*folders).count()
-
-    return Drained(
-        received,
-        written(landing, schema),
-        written(dead_letter, T.StructType([T.StructField("value", T.StringType())])),
-    )
+        if query.exception() is not None:
+            raise query.exception()
+    except StreamingQueryException as error:
+        if "_Enough" not in str(error):
+            raise
+    return Drained(*(sum(getattr(c, f) for c in counts.values()) for f in ("received", "landed", "dead")))
+
+
+class _Enough(Exception):
+    """The wanted number has landed; the batch that raises this is not committed."""
 
 
 def read_landed(spark: SparkSession, landing: str, schema: T.StructType = S.LABELLED_RECEIPT) -> DataFrame:

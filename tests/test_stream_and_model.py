@@ -65,6 +65,32 @@ def test_redeliveries_inside_the_watermark_are_dropped(spark, tables, tmp_path):
     assert out.count() == out.select("receipt_id").distinct().count() == bridge.receipt_heads(tables).count()
 
 
+def test_skewed_stamps_are_kept_by_the_live_dedupe(spark, tmp_path):
+    stamps = {"a": "2026-06-01T10:00:00Z", "b": "2025-06-01T10:00:00Z", "c": "2029-01-01T00:00:00Z"}
+    for i, (rid, at) in enumerate([*stamps.items(), ("b", stamps["b"])]):
+        (tmp_path / "in").mkdir(exist_ok=True)
+        (tmp_path / "in" / f"{i}.txt").write_text(json.dumps({"receipt_id": rid, "submitted_at": at, "total": 1.0}) + "\n")
+    rows = landing.good(landing.decode(landing.file_source(spark, str(tmp_path / "in"), max_files=1)))
+    query = landing.without_redeliveries(rows).writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "ckpt")).trigger(availableNow=True).start()
+    query.awaitTermination(120)
+    assert sorted(r["receipt_id"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["a", "b", "c"]
+
+
+def test_drain_stops_at_enough_and_a_new_checkpoint_replaces_nothing(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for i in range(6):
+        (tmp_path / "in" / f"{i}.txt").write_text(f'{{"receipt_id": "r{i}", "total": 1.0}}\n')
+    run = lambda ckpt, **more: landing.drain(
+        landing.file_source(spark, str(tmp_path / "in"), max_files=1), str(tmp_path / "landed"), str(tmp_path / "dead"), str(tmp_path / ckpt), **more
+    )
+    first = run("one", enough=2)
+    rest = run("one")
+    assert (first.received, rest.received) == (2, 4)
+    assert landing.read_landed(spark, str(tmp_path / "landed")).count() == 6
+    assert run("two").landed == 6
+    assert landing.read_landed(spark, str(tmp_path / "landed")).count() == 12
+
+
 def test_defects_are_labelled_and_replayable(spark, tables):
     base = bridge.receipts(tables)
     one = defects.inject_defects(base, anomaly_rate=0.5, malformed_rate=0.1)
