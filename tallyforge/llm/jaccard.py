@@ -11,11 +11,14 @@ reads more postings, but needs more matches before a pair is verified.
    the task leaves it once), send sorted packed runs to the task of each hash range, and get back counts.
    Tokens are cut to 48 bits here, which can only keep a set that might have gone.
 2. *Prefixes.* The sets that stay are read again, once per distinct set, and counted exactly.
-3. *Stars.* In the postings of each prefix token every set is paired with one pivot. Verified pairs are
-   links, and join large groups of near copies in as many steps as they have members.
-4. *The rest.* Postings that still hold several groups pair the sets outside the posting's main group
-   with every set of another group. Such pairs need the smaller ``l`` of matches, then are verified.
-   Sets of one group need no further pair: they are connected, and no link between groups is left out.
+3. *Stars.* In the postings of each prefix token every set is paired with one pivot, the set most like
+   the others. Pairs with the smaller ``l`` of matches are verified; so a large group of near copies is
+   joined in as many steps as it has members.
+4. *The rest.* Two alike sets that are still in different groups met some pivot together, and at least one
+   of them, a straggler, is not alike to it. ``differences`` shows that then both differ from the pivot in
+   common tokens. Few sets differ from a pivot in a given token, so stragglers meet the others there, and
+   such pairs are verified as before. Sets of one group need no further pair, and no link between groups
+   is left out.
 
 Defined cases: a null or wordless text has no token and links with nothing; repeated rows link with each
 other; a null id never is a component's name: a component without any other id has null. Empty tables give
@@ -38,7 +41,7 @@ from tallyforge.llm.shingles import shingle_sets
 from tallyforge.session import settle
 
 #: Tokens a task folds at a time, and tokens aimed at for one hash range.
-FOLD, RANGE_TOKENS = 2_000_000, 2_000_000
+FOLD, RANGE_TOKENS = 1_000_000, 1_000_000
 LONGEST_MATCH = 8
 #: Cost of one verification, in postings read.
 VERIFY = 20.0
@@ -201,10 +204,11 @@ def linkable(docs: DataFrame, seen: DataFrame, width: int, percent: int, doc_id:
 
 
 def prefixes(sets: DataFrame) -> DataFrame:
-    """(token, node, n, l): the tokens of each set's prefix and the matches it asks for.
+    """Stored: ``sets`` with l, the matches a set asks for, prefix, its prefix tokens, and central.
 
     ``shared`` leaves out the tokens only this set has; they come first in the order and match nothing,
     so of the prefix of ``n - t + l`` tokens the first ``size(shared) - t + l`` shared ones count.
+    ``central`` is high for sets whose tokens most others have.
     """
     spare = F.size("shared") - F.col("t")
 
@@ -214,48 +218,83 @@ def prefixes(sets: DataFrame) -> DataFrame:
 
     choices = F.transform(F.sequence(F.lit(1), F.least(F.lit(LONGEST_MATCH), F.col("t"))), cost)
     chosen = sets.withColumn("l", F.array_min(choices)["l"])
-    return chosen.select("node", "n", "l", F.explode(F.slice("shared", F.lit(1), spare + F.col("l"))).alias("_x")).select(F.col("_x.token").alias("token"), "node", "n", "l")
+    prefix = F.transform(F.slice("shared", F.lit(1), spare + F.col("l")), lambda x: x["token"])
+    central = F.aggregate("shared", F.lit(0.0), lambda s, x: s + x["df"]) / F.col("n")
+    return settle(chosen.select("node", "n", "l", prefix.alias("prefix"), F.col("shared.token").alias("tokens"), central.alias("central")))
 
 
 def close_in_size(a: Column, b: Column, percent: int) -> Column:
     return F.lit(100) * F.least(a, b) >= F.lit(percent) * F.greatest(a, b)
 
 
+def alike(both: Column, n_a: Column, n_b: Column, percent: int) -> Column:
+    return F.lit(100) * both >= F.lit(percent) * (n_a + n_b - both)
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are alike enough."""
-    left, right = (sets.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("shared.token").alias(f"x_{c}")) for c in "ab")
-    both = pairs.join(left, "a").join(right, "b").withColumn("_both", F.size(F.array_intersect("x_a", "x_b")))
-    return both.where(F.lit(100) * F.col("_both") >= F.lit(percent) * (F.col("n_a") + F.col("n_b") - F.col("_both"))).select("a", "b")
+    """The pairs (a, b) whose sets are alike enough; only pairs with the matches both ask for are compared."""
+    left, right = (sets.select(*[F.col(c).alias(f"{c}_{side}") for c in ("node", "n", "l", "prefix", "tokens")]) for side in "ab")
+    both = pairs.join(left, F.col("a") == F.col("node_a")).join(right, F.col("b") == F.col("node_b"))
+    matched = F.size(F.array_intersect("prefix_a", "prefix_b")) >= F.least("l_a", "l_b")
+    held = both.where(close_in_size(F.col("n_a"), F.col("n_b"), percent) & matched)
+    return held.where(alike(F.size(F.array_intersect("tokens_a", "tokens_b")), F.col("n_a"), F.col("n_b"), percent)).select("a", "b")
+
+
+def differences(met: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(pivot, node, part, straggler, token) by which sets in different groups around a pivot can meet.
+
+    Around a pivot ``p`` take a straggler ``x``, not alike to ``p``, and any ``y`` alike to ``x``. With
+    ``Dx`` the tokens in which ``x`` and ``p`` differ, and f the share (100 - percent) / (100 + percent):
+    ``|Dx| > f (nx + np)`` and ``|Dx| + |Dy| - 2 |Dx & Dy| <= f (nx + ny)``, so ``x`` and ``y`` share more
+    than ``(|Dy| + f (np - ny)) / 2`` of these tokens: about half of those of ``y``. A token of any so
+    many fewer ones of ``y``, rare first, is among them; for ``x`` all count. Tokens that ``y`` alone has
+    match nothing and go first; those that ``p`` alone has are in every difference and are left out.
+    If nothing is asked of ``y``, it meets every straggler of the pivot by the token null.
+    """
+    pivot, other = (sets.select(*[F.col(c).alias(f"{c}_{side}") for c in ("node", "n", "tokens")]) for side in "pq")
+    both = met.join(pivot, F.col("pivot") == F.col("node_p")).join(other, F.col("node") == F.col("node_q"))
+    own_p, own_q = F.col("n_p") - F.size("tokens_p"), F.col("n_q") - F.size("tokens_q")
+    # gained tokens before lost ones: what few sets around the pivot have comes first
+    parted = both.select(
+        "pivot", "node", "part", "straggler", F.concat(F.array_except("tokens_q", "tokens_p"), F.array_except("tokens_p", "tokens_q")).alias("_d"),
+        own_p.alias("_own_p"), own_q.alias("_own_q"), "n_p", "n_q",
+    )
+    size = F.size("_d") + F.col("_own_q")
+    asked = F.floor((F.lit(100 + percent) * (size - F.col("_own_p")) + F.lit(100 - percent) * (F.col("n_p") - F.col("n_q"))) / F.lit(2 * (100 + percent))) + 1
+    taken = (size - asked + 1 - F.col("_own_q")).cast("int")
+    nothing = F.array(F.lit(None).cast("bigint"))
+    some = F.when(asked <= 0, nothing).when(taken <= 0, F.array().cast("array<bigint>")).otherwise(F.slice("_d", F.lit(1), F.greatest(taken, F.lit(0))))
+    sent = parted.select(
+        "pivot", "node", F.col("n_q").alias("n"), "part",
+        F.explode(F.concat(F.transform(some, lambda t: F.struct(F.lit(False).alias("asks"), t.alias("token"))), F.when(F.col("straggler"), F.transform(F.concat("_d", nothing), lambda t: F.struct(F.lit(True).alias("asks"), t.alias("token")))).otherwise(F.array().cast("array<struct<asks:boolean,token:bigint>>")))).alias("_x"),
+    )
+    return sent.select("pivot", "node", "n", "part", "_x.asks", "_x.token")
 
 
 def links(sets: DataFrame, percent: int) -> DataFrame:
-    """Stored links (a, b) that connect exactly the sets that the similarity connects."""
-    postings = settle(prefixes(sets))
-    pivots = postings.groupBy("token").agg(F.min(F.struct("node", "n")).alias("_p"), F.count("*").alias("_c")).where("_c > 1").drop("_c")
-    stars = (
-        postings.join(pivots, "token")
-        .where((F.col("node") != F.col("_p.node")) & close_in_size(F.col("n"), F.col("_p.n"), percent))
-        .select(F.col("_p.node").alias("a"), F.col("node").alias("b"))
-        .distinct()
-    )
-    first = settle(verified(stars, sets, percent))
-    groups = components(first).withColumnRenamed("node", "_node")
-    grouped = settle(
-        postings.join(groups, F.col("node") == F.col("_node"), "left").select("token", "node", "n", "l", F.coalesce("component", "node").alias("part"))
-    )
-    sizes = grouped.groupBy("token", "part").agg(F.count("*").alias("_c"))
-    mains = sizes.groupBy("token").agg(F.max(F.struct("_c", "part")).alias("_m"), F.count("*").alias("_parts")).where("_parts > 1").select("token", F.col("_m.part").alias("_main"))
-    open_ = settle(grouped.join(mains, "token"))
-    outside = open_.where("part <> _main").select("token", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("l").alias("lx"), F.col("part").alias("px"))
-    met = outside.join(open_, "token").where(
-        (F.col("part") != F.col("px")) & ((F.col("part") == F.col("_main")) | (F.col("x") < F.col("node"))) & close_in_size(F.col("nx"), F.col("n"), percent)
+    """Links (a, b) that connect exactly the sets that the similarity connects."""
+    sets = prefixes(sets)
+    postings = sets.select(F.explode("prefix").alias("token"), "node", "central")
+    pivots = postings.groupBy("token").agg(F.max(F.struct("central", "node")).alias("_p"), F.count("*").alias("_c")).where("_c > 1")
+    stars = settle(
+        postings.join(pivots, "token").where(F.col("node") != F.col("_p.node")).select(F.col("_p.node").alias("pivot"), "node").distinct()
     )
-    pairs = (
-        met.groupBy(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b"))
-        .agg(F.count("*").alias("_matches"), F.min(F.least("lx", "l")).alias("_needed"))
-        .where("_matches >= _needed")
-        .select("a", "b")
+    first = settle(verified(stars.select(F.col("pivot").alias("a"), F.col("node").alias("b")), sets, percent))
+    groups = settle(components(first))
+    of = lambda c: groups.select(F.col("node").alias(f"_{c}"), F.col("component").alias(f"_{c}_part"))
+    parted = (
+        stars.join(of("pivot"), F.col("pivot") == F.col("_pivot"), "left")
+        .join(of("node"), F.col("node") == F.col("_node"), "left")
+        .select("pivot", "node", F.coalesce("_node_part", "node").alias("part"), F.coalesce("_pivot_part", "pivot").alias("_main"))
+        .withColumn("straggler", F.col("part") != F.col("_main"))
     )
+    several = parted.groupBy("pivot").agg(F.count("*").alias("_n"), F.max("straggler").alias("_any")).where("_n > 1 and _any").select(F.col("pivot").alias("_open"))
+    met = settle(parted.join(several, F.col("pivot") == F.col("_open"), "left_semi").select("pivot", "node", "part", "straggler"))
+    sent = settle(differences(met, sets, percent))
+    x = sent.where("asks").select(*[F.col(c).alias(f"x_{c}") for c in ("pivot", "token", "node", "n", "part")])
+    y = sent.where("not asks")
+    together = (F.col("pivot") == F.col("x_pivot")) & F.col("token").eqNullSafe(F.col("x_token")) & (F.col("part") != F.col("x_part"))
+    pairs = x.join(y, together & close_in_size(F.col("n"), F.col("x_n"), percent)).select(F.least("x_node", "node").alias("a"), F.greatest("x_node", "node").alias("b")).distinct()
     return first.unionByName(settle(verified(pairs, sets, percent)))
 
 

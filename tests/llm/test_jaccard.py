@@ -77,6 +77,23 @@ def test_against_brute_force(spark, seed, width, percent):
     assert run(spark, rows, width, percent) == brute(rows, width, percent)
 
 
+@pytest.mark.parametrize(("seed", "percent"), [(1, 85), (2, 80), (3, 90)])
+def test_many_near_copies_of_one_text(spark, seed, percent):
+    """Copies with several edits each, about half of them too far from the text in the middle."""
+    rng = random.Random(seed)
+    base, texts = [f"b{i}" for i in range(60)], []
+    for _ in range(160):
+        copy = list(texts[rng.randrange(len(texts))].split()) if texts and rng.random() < 0.3 else list(base)
+        for _ in range(rng.randint(0, 3)):
+            at = rng.randrange(len(copy))
+            copy[at : at + rng.randint(0, 1)] = [rng.choice(["x", "y", f"u{rng.random()}"])] * rng.randint(0, 2)
+        texts.append(" ".join(copy))
+    rows = list(enumerate(texts))
+    want = brute(rows, 4, percent)
+    assert run(spark, rows, 4, percent) == want
+    assert len({w[2] for w in want}) > 1
+
+
 def test_border_of_the_threshold(spark):
     w = [f"w{i}" for i in range(40)]
     rows = [(1, " ".join(w)), (2, " ".join(w[:-6])), (3, " ".join(f"v{i}" for i in range(43))), (4, " ".join(f"v{i}" for i in range(37)))]
