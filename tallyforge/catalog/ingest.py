@@ -32,10 +32,12 @@ def register(name: str, sql: str | None = None, extra: dict[str, str] | None = N
 
 EXTRA["folded"] = """
 select r.receipt_id, r.user_id, r.store_id, r.submitted_at, r.currency, r.payment_method, r.scanner_version,
-       r.image_quality, r.subtotal, r.tax, r.total, coalesce(l.n_items, 0) as n_items, l.first_sku, l.last_qty
+       r.image_quality, r.subtotal, r.tax, r.total, coalesce(l.n_items, 0) as n_items, l.first_sku, l.last_qty,
+       l.first_price, l.last_price, coalesce(l.names, '') as names
 from b_receipts r left join (
   select receipt_id, cast(count(*) as integer) as n_items, arg_min(sku, line_no) as first_sku,
-         arg_max(qty, line_no) as last_qty from b_items group by receipt_id) l on l.receipt_id = r.receipt_id"""
+         arg_max(qty, line_no) as last_qty, arg_min(unit_price, line_no) as first_price, arg_max(unit_price, line_no) as last_price,
+         string_agg(item_name, '|' order by line_no) as names from b_items group by receipt_id) l on l.receipt_id = r.receipt_id"""
 
 HEAD = "receipt_id, user_id, store_id, submitted_at, currency, payment_method, scanner_version, image_quality"
 
@@ -52,6 +54,9 @@ def summary(receipts):
         F.size("items").cast("int").alias("n_items"),
         first["sku"].alias("first_sku"),
         last["qty"].alias("last_qty"),
+        first["unit_price"].alias("first_price"),
+        last["unit_price"].alias("last_price"),
+        F.array_join(F.transform("items", lambda i: i["name"]), "|").alias("names"),
     )
 
 
@@ -70,14 +75,14 @@ def as_text(receipts):
 
 
 # ------------------------------------------------------------- sources ---
-@register("source_csv", f"select {HEAD}, subtotal, tax, total, cast(n_items as integer) as n_items, first_sku, last_qty from folded")
+@register("source_csv", f"select {HEAD}, subtotal, tax, total, cast(n_items as integer) as n_items, first_sku, last_qty, first_price, last_price, names from folded")
 def _(t):
     path = scratch_path(t.spark, "receipts.csv")
     as_text(canonical(t)).write.option("header", True).option("escape", '"').csv(path)
     return summary(files.read_receipts(t.spark, path))
 
 
-@register("source_json_lines", f"select {HEAD}, subtotal, tax, total, cast(n_items as integer) as n_items, first_sku, last_qty from folded")
+@register("source_json_lines", f"select {HEAD}, subtotal, tax, total, cast(n_items as integer) as n_items, first_sku, last_qty, first_price, last_price, names from folded")
 def _(t):
     path = scratch_path(t.spark, "receipts.jsonl")
     canonical(t).withColumn(
@@ -91,7 +96,8 @@ def _(t):
     """select 'R' || o_orderkey as receipt_id, 'U000000' as user_id, 'ST001' as store_id, o_orderdate as submitted_at,
               'USD' as currency, 'card' as payment_method, 'v4.0' as scanner_version, 0.9e0 as image_quality,
               0e0 as subtotal, 0e0 as tax, o_totalprice as total, cast(0 as integer) as n_items,
-              cast(null as varchar) as first_sku, cast(null as integer) as last_qty from orders""",
+              cast(null as varchar) as first_sku, cast(null as integer) as last_qty, cast(null as double) as first_price,
+              cast(null as double) as last_price, '' as names from orders""",
 )
 def _(t):
     bare = t.orders.select(
@@ -154,15 +160,16 @@ def _(t):
 
 @register(
     "complete_receipts",
-    """select receipt_id, subtotal is not null as had_subtotal, n_items from folded where n_items > 0""",
+    # Filled amounts are cut to cents by either engine's own rounding, so they are compared to the unit.
+    """select receipt_id, n_items, cast(floor(coalesce(subtotal, own) + 0.5e0) as bigint) as subtotal_units,
+              cast(floor(coalesce(tax, round(round(own, 2) * 0.0825e0, 2)) + 0.5e0) as bigint) as tax_units
+       from folded join (select receipt_id, sum(cast(qty as double) * unit_price) as own from b_items group by receipt_id) using (receipt_id)
+       where n_items > 0""",
 )
 def _(t):
     done, _ = normalise.complete_receipts(canonical(t))
-    kept = done.select("receipt_id", F.size("items").cast("int").alias("n_items"), "subtotal", "tax")
-    had = bridge.receipt_heads(t).select("receipt_id", F.col("subtotal").isNotNull().alias("had_subtotal"))
-    return kept.where("subtotal is not null and tax is not null").join(had, "receipt_id").select(
-        "receipt_id", "had_subtotal", "n_items"
-    )
+    units = lambda c: F.floor(F.col(c) + 0.5).cast("bigint").alias(f"{c}_units")
+    return done.select("receipt_id", F.size("items").cast("int").alias("n_items"), units("subtotal"), units("tax"))
 
 
 @register("rejected_empty_baskets", "select receipt_id from b_receipts where not has_lines")
@@ -193,12 +200,34 @@ def _(t):
 
 @register(
     "topic_records",
-    """select receipt_id as key, receipt_id, strftime(submitted_at, '%Y-%m-%dT%H:%M:%S.%f') || 'Z' as submitted_at, total from b_receipts""",
+    """select receipt_id as key, receipt_id, strftime(submitted_at, '%Y-%m-%dT%H:%M:%S.%f') || 'Z' as submitted_at, total, user_id, store_id,
+              currency, payment_method, scanner_version, image_quality, subtotal, tax, cast(n_items as integer) as n_items, names, last_price
+       from folded""",
 )
 def _(t):
     records = sinks.topic_records(canonical(t))
-    back = F.from_json("value", "receipt_id string, submitted_at string, total double")
-    return records.select("key", back.alias("v")).select("key", "v.*")
+    back = F.from_json(
+        "value",
+        "receipt_id string, submitted_at string, total double, user_id string, store_id string, currency string, payment_method string, "
+        "scanner_version string, image_quality double, subtotal double, tax double, items array<struct<name:string,unit_price:double>>",
+    )
+    return records.select("key", back.alias("v")).select("key", "v.*").select(
+        "*",
+        F.size("items").cast("int").alias("n_items"),
+        F.array_join(F.transform("items", lambda i: i["name"]), "|").alias("names"),
+        F.try_element_at("items", F.lit(-1))["unit_price"].alias("last_price"),
+    ).drop("items")
+
+
+@register("source_json_wrapper", f"select {HEAD}, subtotal, tax, total, cast(n_items as integer) as n_items, first_sku, last_qty, first_price, last_price, names from folded")
+def _(t):
+    """The same receipts as JSON documents, each an array of up to a few hundred under one key."""
+    path = scratch_path(t.spark, "receipts.json")
+    stamped = canonical(t).withColumn("submitted_at", F.date_format("submitted_at", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+    parts = stamped.groupBy(F.pmod(F.xxhash64("receipt_id"), F.lit(64)).alias("part")).agg(F.collect_list(F.struct(*stamped.columns)).alias("receipts"))
+    documents = parts.select("part", F.to_json(F.struct("receipts"), {"ignoreNullFields": "false"}).alias("value"))
+    documents.repartition("part").write.partitionBy("part").text(path)
+    return summary(files.read_receipts(t.spark, path))
 
 
 # ----------------------------------------------------------- streaming ---
@@ -440,14 +469,25 @@ def reads(t: Tables):
     ).select("receipt_id", "r.*")
 
 
-@register("text_best_read")
+EXTRA["read_texts"] = """
+select receipt_id || '#' || k as receipt_id, case k when 0 then replace(text, ' ', '') when 1 then text else text || chr(10) end as text
+from texts, (select unnest([0, 1, 2]) as k)"""
+
+
+@register(
+    "text_best_read",
+    """select split_part(receipt_id, '#', 1) as receipt_id, split_part(receipt_id, '#', 2)::integer as read_id, n::integer as n_item_lines
+       from (select receipt_id, count(*) filter (length(name) >= 2) as n from lines3 group by receipt_id)
+       qualify row_number() over (partition by split_part(receipt_id, '#', 1) order by n desc, receipt_id) = 1""",
+    {**TEXT_SQL, **parsed_sql("read_texts")},
+)
 def _(t):
     return receipt_text.best_read(reads(t)).select("receipt_id", "read_id", "n_item_lines")
 
 
 @register(
     "text_to_receipts",
-    "select receipt_id, n_items, true as subtotal_filled, tax is not null as tax_was_read from parsed where n_items > 0",
+    "select receipt_id, n_items, subtotal, read_total as total, tax is not null as tax_was_read from parsed where n_items > 0",
     {**TEXT_SQL, **parsed_sql("texts")},
 )
 def _(t):
@@ -457,7 +497,8 @@ def _(t):
     return done.join(read, "receipt_id").select(
         "receipt_id",
         F.size("items").cast("int").alias("n_items"),
-        F.col("subtotal").isNotNull().alias("subtotal_filled"),
+        "subtotal",
+        "total",
         "tax_was_read",
     )
 

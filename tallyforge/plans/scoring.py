@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.operators import attribution, features, model
 from tallyforge.operators.contract import split_quarantine
+from tallyforge.session import settle
 
 
 @dataclass
@@ -29,12 +30,13 @@ def assemble(clean: DataFrame, scores: DataFrame, explanations: DataFrame) -> Da
 
 
 def score_batch(
-    receipts: DataFrame, trained: model.AnomalyModel, reference: features.Reference | None = None, stores=None
+    receipts: DataFrame, trained: model.AnomalyModel, reference: features.Reference | None = None, stores=None, as_of=None
 ) -> ScoredBatch:
-    """Gate with the batch's own newest stamp as business date, then features, score, reasons."""
-    as_of = receipts.agg(F.max("submitted_at").alias("m")).first()["m"]
+    """Gate, then features, score, reasons; the business date is ``as_of`` or the batch's newest stamp."""
+    as_of = as_of or receipts.agg(F.max("submitted_at").alias("m")).first()["m"]
     clean, held = split_quarantine(receipts, as_of, stores)
-    feats = features.build_features(clean, reference)
+    # scores and reasons both read the features
+    feats = settle(features.build_features(clean, reference))
     scores = model.score(trained, feats)
     reasons = attribution.explain(trained.pipeline, feats)
     return ScoredBatch(clean, held, assemble(clean, scores, reasons))
