@@ -250,10 +250,13 @@ def _(t):
     return drift.drifted(psi.withColumn("psi", F.round("psi", 8)))
 
 
-@register("psi_line_measures_sketch")
+@register("psi_line_measures_sketch", "select feature, true as close from p_psi", LINE_PSI)
 def _(t):
+    """Whether the sketch's edges give each index to within 0.005 of the exact one."""
     ref, cur = line_sides(t)
-    return drift.psi_by_feature(ref, cur, LINE_MEASURES, method="approx")
+    sketch = drift.psi_by_feature(ref, cur, LINE_MEASURES, method="approx").withColumnRenamed("psi", "_sketch")
+    both = sketch.join(drift.psi_by_feature(ref, cur, LINE_MEASURES), "feature")
+    return both.select("feature", (F.abs(F.col("_sketch") - F.col("psi")) < 0.005).alias("close"))
 
 
 def feature_sides(t: Tables):
@@ -588,7 +591,13 @@ def _(t):
     return marts.feature_attribution(attribution.mean_abs(values, FACTORS))
 
 
-@register("drift_report")
+@register(
+    "drift_report",
+    f"""select 'stable' as prediction_status, (select count(*) filter (round(psi, 4) >= 0.25) > 0 from p_psi) as retrain_recommended,
+               count(*) filter (reliable and recall_gap_vs_overall > 0.2e0) = 0 as fairness_passed, count(*)::integer as n_slices
+        from ({RECEIPT_SLICES})""",
+    LINE_PSI,
+)
 def _(t):
     """Report sink round trip: drift, slices and gate verdict as one JSON document."""
     from tallyforge.sources.sinks import write_report

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.operators.ordering import exact_median
+from tallyforge.session import settle
 
 
 def date_bounds(receipts: DataFrame) -> DataFrame:
@@ -33,13 +34,15 @@ def dim_date(receipts: DataFrame) -> DataFrame:
 
 def dim_sku(items: DataFrame) -> DataFrame:
     """One row per SKU with its exact median price, also when one SKU dominates the lines."""
-    measures = items.groupBy("sku").agg(
+    # the lines are read once: everything else comes from one row per (SKU, price)
+    prices = settle(items.groupBy("sku", "unit_price").agg(F.count(F.lit(1)).alias("times"), F.max("item_name").alias("item_name")))
+    measures = prices.groupBy("sku").agg(
         F.max("item_name").alias("item_name"),
-        F.count(F.lit(1)).alias("times_sold"),
+        F.sum("times").alias("times_sold"),
         F.min("unit_price").alias("min_unit_price"),
         F.max("unit_price").alias("max_unit_price"),
     )
-    medians = exact_median(items, ["sku"], "unit_price", "median_unit_price").withColumnRenamed("sku", "_sku")
+    medians = exact_median(prices, ["sku"], "unit_price", "median_unit_price", "times").withColumnRenamed("sku", "_sku")
     return measures.join(medians, measures["sku"].eqNullSafe(medians["_sku"]), "left").select(
         F.md5("sku").alias("sku_key"),
         F.col("sku").alias("sku_natural_key"),

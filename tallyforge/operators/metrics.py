@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.functions.receipts import rate
 from tallyforge.operators.ordering import before_cut, order_cuts, running_totals
+from tallyforge.session import settle
 
 
 def score_curve(df: DataFrame, score: str, label: str) -> DataFrame:
@@ -65,6 +66,7 @@ def precision_at(df: DataFrame, score: str, label: str, row_id: str, fractions:
     One ranking serves all fractions; the data is then read once with plain cut values.
     """
     ks = [lambda n, f=f: F.greatest(F.lit(1).cast("bigint"), F.floor(n * F.lit(float(f))).cast("bigint")) for f in fractions]
+    df = settle(df.select(score, label, row_id))  # ranked, cut and counted: three reads of three columns
     cuts = order_cuts(df, score, row_id, ks, descending=True)
     inside = [
         F.when(

@@ -49,14 +49,15 @@ def running_totals(df: DataFrame, keys: list[str], order: str, measures: dict[st
     )
 
 
-def exact_quantiles(df: DataFrame, keys: list[str], value: str, points: list[float]) -> DataFrame:
-    """Exact linear-interpolated quantiles per key as ``(keys, n, quantiles)``.
+def exact_quantiles(df: DataFrame, keys: list[str], value: str, points: list[float], weight: str | None = None) -> DataFrame:
+    """Exact linear-interpolated quantiles per key as ``(keys, n, quantiles)``; a row counts ``weight`` times.
 
     No key's values meet in one task: order statistics are looked up in running
     counts, and only the few rows around each point reach the final aggregate.
     """
-    present = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))
-    ranked = running_totals(present, keys, "_v", {"n": F.lit(1)})
+    times = F.lit(1) if weight is None else F.col(weight)
+    present = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"), times.alias("_times"))
+    ranked = running_totals(present, keys, "_v", {"n": F.col("_times")})
     upto = F.col("n_before") + F.col("n")
     aggs = [F.max("n_all").alias("n")]
     for i, q in enumerate(points):
@@ -74,8 +75,8 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, points: list[flo
     return picked.select(*keys, "n", F.array(*quantiles).alias("quantiles"))
 
 
-def exact_median(df: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
-    found = exact_quantiles(df, keys, value, [0.5])
+def exact_median(df: DataFrame, keys: list[str], value: str, name: str, weight: str | None = None) -> DataFrame:
+    found = exact_quantiles(df, keys, value, [0.5], weight)
     return found.select(*keys, F.col("quantiles")[0].alias(name))
 
 

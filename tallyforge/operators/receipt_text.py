@@ -47,37 +47,52 @@ def _clean_name(name: Column) -> Column:
     return F.trim(F.regexp_replace(cut, r"\s+[A-Z]$", ""))
 
 
-def _shape(line: Column) -> Column:
+#: Stands between the groups of a matched line; a line that does not match stays as it is.
+_CUT = "\u0001"
+
+
+def _matched(x: Column) -> Column:
+    return x.withField("is_other", x["line"].rlike(NOT_AN_ITEM) | x["line"].rlike(SUMMARY_MISREAD))
+
+
+def _groups(x: Column, pattern: str, groups: int) -> Column:
+    """The line with its groups cut apart, if the pattern (which spans the line) matches."""
+    return F.regexp_replace(x["line"], F.lit(pattern), F.lit(_CUT.join(f"${i + 1}" for i in range(groups))))
+
+
+def _part(cut: Column, i: int) -> Column:
+    return F.split(cut, _CUT)[i]
+
+
+def _shape(x: Column) -> Column:
     """Which item layout a line has, if any."""
     return (
-        F.when(line.rlike(NOT_AN_ITEM) | line.rlike(SUMMARY_MISREAD), "none")
-        .when(line.rlike(QTY_LINE), "qty")
-        .when(line.rlike(NAMED_LINE), "named")
-        .when(line.rlike(LEADING_NAME), "loose")
+        F.when(x["is_other"], "none")
+        .when(x["as_qty"] != x["line"], "qty")
+        .when(x["as_named"] != x["line"], "named")
+        .when(x["line"].rlike(LEADING_NAME), "loose")
         .otherwise("none")
     )
 
 
-def _raw_price(line: Column, shape: Column) -> Column:
-    last = F.try_element_at(F.regexp_extract_all(line, F.lit(MONEY), F.lit(1)), F.lit(-1))
+def _raw_price(x: Column) -> Column:
+    last = F.try_element_at(F.regexp_extract_all(x["line"], F.lit(MONEY), F.lit(1)), F.lit(-1))
     return _money(
-        F.when(shape == "qty", F.regexp_extract(line, QTY_LINE, 3))
-        .when(shape == "named", F.regexp_extract(line, NAMED_LINE, 2))
-        .when(shape == "loose", last)
+        F.when(x["shape"] == "qty", _part(x["as_qty"], 2)).when(x["shape"] == "named", _part(x["as_named"], 1)).when(x["shape"] == "loose", last)
     )
 
 
-def _raw_name(line: Column, shape: Column) -> Column:
+def _raw_name(x: Column) -> Column:
     return (
-        F.when(shape == "qty", F.regexp_extract(line, QTY_LINE, 2))
-        .when(shape == "named", F.regexp_extract(line, NAMED_LINE, 1))
-        .when(shape == "loose", F.trim(F.regexp_extract(line, LEADING_NAME, 1)))
+        F.when(x["shape"] == "qty", _part(x["as_qty"], 1))
+        .when(x["shape"] == "named", _part(x["as_named"], 0))
+        .when(x["shape"] == "loose", F.trim(F.regexp_extract(x["line"], LEADING_NAME, 1)))
     )
 
 
 def _item(x: Column) -> Column:
     sku = F.concat(F.lit("OCR-"), F.substring(F.regexp_replace(F.upper(x["name"]), "[^A-Z0-9]", ""), 1, 8))
-    qty = F.when(x["shape"] == "qty", F.regexp_extract(x["line"], QTY_LINE, 1).try_cast("int")).otherwise(1)
+    qty = F.when(x["shape"] == "qty", _part(x["as_qty"], 0).try_cast("int")).otherwise(1)
     priced = (x["shape"] != "loose") | ((x["price"] > 0) & (x["price"] <= MAX_LOOSE_PRICE))
     return F.when(
         (F.length(x["name"]) >= 2) & priced,
@@ -88,12 +103,14 @@ def _item(x: Column) -> Column:
 def lines_with_items(lines: Column) -> Column:
     """Each line with its item struct, or a null item. Steps pass their results on, so
     no pattern runs twice on a line."""
-    shaped = F.transform(lines, lambda x: x.withField("shape", _shape(x["line"])))
+    other = F.transform(lines, _matched)
+    counted = F.transform(other, lambda x: x.withField("as_qty", F.when(~x["is_other"], _groups(x, QTY_LINE, 3))))
+    cut = F.transform(
+        counted, lambda x: x.withField("as_named", F.when(x["as_qty"] == x["line"], _groups(x, NAMED_LINE, 2)))
+    )
+    shaped = F.transform(cut, lambda x: x.withField("shape", _shape(x)))
     named = F.transform(
-        shaped,
-        lambda x: x.withField("name", _clean_name(_raw_name(x["line"], x["shape"]))).withField(
-            "price", _raw_price(x["line"], x["shape"])
-        ),
+        shaped, lambda x: x.withField("name", _clean_name(_raw_name(x))).withField("price", _raw_price(x))
     )
     return F.transform(
         named, lambda x: F.struct(x["no"].alias("no"), x["line"].alias("line"), _item(x).alias("item"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,8 +66,9 @@ def run(
     if not retrain:
         try:
             trained = model.load(spark, model_path)
-        except Exception:  # nothing stored yet
-            trained = None
+        except AnalysisException as error:  # nothing stored yet; anything else is a damaged model
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
     if trained is None:
         trained = model.train(feats, seed=seed, rounds=rounds)
         model.save(trained, spark, model_path)
