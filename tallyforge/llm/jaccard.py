@@ -41,8 +41,10 @@ from tallyforge.llm.shingles import shingle_sets
 from tallyforge.session import settle
 
 #: Tokens a task folds at a time, and tokens aimed at for one hash range.
-FOLD, RANGE_TOKENS = 1_000_000, 1_000_000
+FOLD, RANGE_TOKENS = 500_000, 1_000_000
 LONGEST_MATCH = 8
+#: Characters that are hashed at a time.
+AT_ONCE = 300_000
 #: Cost of one verification, in postings read.
 VERIFY = 20.0
 
@@ -50,7 +52,7 @@ _PACKED = pa.schema(
     [("range", pa.int32()), ("kind", pa.int32()), ("doc_id", pa.int64()), ("n", pa.int32()), ("node", pa.int64()), ("text_key", pa.int64()), ("digest", pa.binary()), ("known", pa.int32()), ("tokens", pa.binary()), ("owners", pa.binary())]
 )
 _PACKED_DDL = "range int, kind int, doc_id bigint, n int, node bigint, text_key bigint, digest binary, known int, tokens binary, owners binary"
-_SEEN_DDL = "kind int, doc_id bigint, n int, node bigint, text_key bigint, digest binary, known int"
+_SEEN_DDL = "kind int, doc_id bigint, n int, node bigint, text_key bigint, digest binary, known int, nodes binary, counts binary"
 
 
 def least_shared(n: Column, percent: int) -> Column:
@@ -124,7 +126,7 @@ def _folded(batches: Iterator[pa.RecordBatch], width: int, ranges: int) -> Itera
             yield pa.RecordBatch.from_pylist(rows[k : k + 5000], schema=_PACKED)
         rows, sets, held = [], {}, 0
 
-    for batch in chunks(batches, "text"):
+    for batch in chunks(batches, "text", AT_ONCE):
         ids, keys = batch.column(0).to_pylist(), batch.column(2).to_pylist()
         for doc_id, text_key, tokens in zip(ids, keys, shingle_sets(batch.column(1).to_pylist(), width)):
             digest = _digest(tokens)
@@ -138,10 +140,14 @@ def _folded(batches: Iterator[pa.RecordBatch], width: int, ranges: int) -> Itera
         yield from flush()
 
 
-def _met(table: pa.Table) -> pa.Table:
-    """In one hash range: how many tokens of each set others have too. Rows of documents pass."""
+def _met(table: pa.Table, groups: int) -> pa.Table:
+    """In one hash range: how many tokens of each set others have too, packed by group of sets.
+
+    Rows of documents pass. Kind 1 has the group as node.
+    """
     kind = table.column("kind").to_numpy()
     docs = table.filter(pa.array(kind == 0)).select(["kind", "doc_id", "n", "node", "text_key", "digest", "known"])
+    docs = docs.append_column("nodes", pa.nulls(len(docs), pa.binary())).append_column("counts", pa.nulls(len(docs), pa.binary()))
     packed = table.filter(pa.array(kind == 1))
     tokens, owners = [], []
     for data, nodes in zip(packed.column("tokens"), packed.column("owners")):
@@ -156,35 +162,54 @@ def _met(table: pa.Table) -> pa.Table:
     same = token[1:] == token[:-1]
     shared = np.concatenate([[False], same]) | np.concatenate([same, [False]])
     nodes, counts = np.unique(owner[shared & (owner != 0)], return_counts=True)
-    n = len(nodes)
+    group = nodes % groups
+    order = np.argsort(group, kind="stable")
+    group, nodes, counts = group[order], nodes[order], counts[order].astype(np.int32)
+    cuts = np.flatnonzero(np.diff(group, prepend=-1, append=groups))
+    spans = list(zip(cuts[:-1].tolist(), cuts[1:].tolist()))
+    n = len(spans)
     counted = pa.table(
-        {"kind": pa.array(np.ones(n, np.int32)), "doc_id": pa.nulls(n, pa.int64()), "n": pa.nulls(n, pa.int32()), "node": pa.array(nodes), "text_key": pa.nulls(n, pa.int64()), "digest": pa.nulls(n, pa.binary()), "known": pa.array(counts.astype(np.int32))}
-    )
+        {
+            "kind": pa.array(np.ones(n, np.int32)), "doc_id": pa.nulls(n, pa.int64()), "n": pa.nulls(n, pa.int32()),
+            "node": pa.array([int(group[a]) for a, _ in spans], pa.int64()), "text_key": pa.nulls(n, pa.int64()),
+            "digest": pa.nulls(n, pa.binary()), "known": pa.nulls(n, pa.int32()),
+            "nodes": pa.array([nodes[a:b].tobytes() for a, b in spans], pa.binary()), "counts": pa.array([counts[a:b].tobytes() for a, b in spans], pa.binary()),
+        }
+    )
     return pa.concat_tables([docs, counted])
 
 
+def _summed(table: pa.Table) -> pa.Table:
+    """Of one group of sets: the counts of all hash ranges together."""
+    nodes = np.concatenate([np.frombuffer(x.as_py(), np.int64) for x in table.column("nodes")])
+    counts = np.concatenate([np.frombuffer(x.as_py(), np.int32) for x in table.column("counts")])
+    own, back = np.unique(nodes, return_inverse=True)
+    return pa.table({"_node": pa.array(own), "_elsewhere": pa.array(np.bincount(back, counts).astype(np.int64))})
+
+
 def _tokens(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     kinds = pa.schema([("node", pa.int64()), ("n", pa.int32()), ("tokens", pa.list_(pa.int64()))])
-    for batch in chunks(batches, "text"):
+    for batch in chunks(batches, "text", AT_ONCE):
         sets = list(shingle_sets(batch.column(0).to_pylist(), width))
         rows = [pa.array([_node(_digest(s)) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int32()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))]
         yield pa.RecordBatch.from_arrays(rows, schema=kinds)
 
 
 def document_sets(docs: DataFrame, width: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Stored: a row per document (kind 0: doc_id, n, node, text_key, digest, known) and counts (kind 1: node, known)."""
+    """Stored: a row per document (kind 0: doc_id, n, node, text_key, digest, known) and packed counts (kind 1)."""
     spark = docs.sparkSession
     workers_import_here(spark)
     own = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("text_key"))
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // (6 * RANGE_TOKENS) + 1)
     packed = own.mapInArrow(lambda batches: _folded(batches, width, ranges), _PACKED_DDL)
-    return settle(packed.groupBy("range").applyInArrow(_met, _SEEN_DDL))
+    groups = ranges // 8 + 1
+    return settle(packed.groupBy("range").applyInArrow(lambda table: _met(table, groups), _SEEN_DDL))
 
 
 def linkable(docs: DataFrame, seen: DataFrame, width: int, percent: int, doc_id: str, text: str) -> DataFrame:
     """Stored: (node, n, t, shared): each distinct set that may link, with its tokens that others have, rare first."""
-    elsewhere = seen.where("kind = 1").groupBy(F.col("node").alias("_node")).agg(F.sum("known").alias("_elsewhere"))
+    elsewhere = seen.where("kind = 1").groupBy("node").applyInArrow(_summed, "_node bigint, _elsewhere bigint")
     rows = seen.where("kind = 0 and n > 0").join(elsewhere, F.col("node") == F.col("_node"), "left")
     stay = rows.where(F.col("known") + F.coalesce("_elsewhere", F.lit(0)) >= least_shared(F.col("n"), percent))
     chosen = stay.groupBy("node").agg(F.min(F.struct("doc_id", "text_key")).alias("_one")).select("_one.doc_id", "_one.text_key")
