@@ -66,6 +66,18 @@ def test_all_limits_agree_at_the_border_and_on_missing_values(spark):
             assert got[k] == (n, None if median is None else pytest.approx(median, rel=1e-12), same), (limit, k)
 
 
+def test_sums_take_any_size_and_round_nothing_first(spark):
+    from tallyforge.functions.exact import exact_avg, exact_sum
+
+    small = spark.createDataFrame([(0.00004,)] * 5 + [(None,)], "v double")
+    assert small.agg(exact_sum(F.col("v")), exact_avg(F.col("v"))).first()[:] == (0.0002, 0.00004)
+    large = spark.range(2000).select(F.lit(9e11).alias("v"))
+    assert large.repartition(7).agg(exact_sum(F.col("v"))).first()[0] == 1.8e15
+    mixed = spark.createDataFrame([(0.1,)] * 10 + [(3e12,)], "v double")
+    assert {mixed.repartition(n).agg(exact_sum(F.col("v"))).first()[0] for n in (1, 3, 8)} == {3e12 + 1}
+    assert small.limit(0).agg(exact_sum(F.col("v"))).first()[0] is None
+
+
 def test_repeated_ids_do_not_multiply(spark):
     three = hand_case(spark)
     rows = three.unionByName(three.where("receipt_id = 'b'")).unionByName(three.where("receipt_id = 'b'"))

@@ -6,7 +6,7 @@ from conftest import ITEMS
 from tallyforge import schemas as S
 from tallyforge.operators.contract import split_quarantine
 from tallyforge.sources.files import read_json, read_receipts
-from tallyforge.sources.normalise import IngestError, complete_receipts, fold_line_items, normalise
+from tallyforge.sources.normalise import IngestError, complete_receipts, fold_line_items, normalise, orphan_lines
 from tallyforge.sources.sinks import topic_records
 
 
@@ -80,6 +80,12 @@ def test_errors_say_what_is_wrong(spark, tmp_path):
         read_receipts(spark, put(tmp_path, "h.jsonl", "{broken\n"))
 
 
+def test_lines_without_an_id_do_not_become_one_receipt(spark):
+    lines = spark.createDataFrame([("R1", 1, 2.0), (None, 1, 3.0), (None, 2, 4.0)], "receipt_id string, qty int, unit_price double")
+    assert [r["receipt_id"] for r in fold_line_items(lines).collect()] == ["R1"]
+    assert orphan_lines(lines).count() == 2
+
+
 def test_inline_check_raises_from_the_job(spark):
     bad = spark.createDataFrame([("R1", "1", "soon")], "receipt_id string, total string, submitted_at string")
     with pytest.raises(Exception, match="submitted_at"):
