@@ -40,7 +40,7 @@ UNDETERMINED = "und"
 #: Upper ends of the length classes (characters) of the calibration.
 LENGTHS = [8, 32, 128, 512, 2048]
 #: How far above the calibrated cross-entropy (nats per character) a text may lie.
-SLACK = 0.35
+SLACK = 0.9
 
 _LETTER: np.ndarray | None = None
 
