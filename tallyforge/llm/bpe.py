@@ -8,7 +8,7 @@ position that vanishes) and their paths to the root, so a piece of n bytes takes
 
 Short pieces are merged many at a time: one tree per row of a numpy matrix, the same step for all rows.
 Long pieces (runs without a break may be as long as the text) go through the same tree one by one.
-Encoded pieces are remembered per worker in a table of bounded size; it only saves work.
+Encoded pieces are remembered during a task in a table of bounded size; it only saves work.
 
 Defined cases: a null text counts as empty; an empty text has no ids and decodes to nothing; ids that
 are null or out of range fail the decode with a clear error. Rows are independent, so ties, repeats,
@@ -219,6 +219,12 @@ def _codec(model) -> Codec:
     return _MODELS[name]
 
 
+def forget() -> None:
+    """Give back the remembered pieces: workers outlive tasks, and other work follows on the same ones."""
+    for codec in _MODELS.values():
+        codec.known.clear()
+
+
 def _shared(spark: SparkSession, path: str, pattern: str):
     tokens = read_ranks(path)
     name = hashlib.sha256(b"\0".join(tokens) + pattern.encode()).hexdigest()
@@ -238,6 +244,7 @@ def _mapped(df: DataFrame, text: str, columns: list[tuple[str, T.DataType, pa.Da
             arrays = [batch.column(batch.schema.get_field_index(c)) for c in kept]
             arrays += [pa.array(v, kind) for v, (_, _, kind) in zip(made, columns)]
             yield pa.RecordBatch.from_arrays(arrays, kept + new)
+        forget()
 
     return source.mapInArrow(run, schema)
 

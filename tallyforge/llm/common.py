@@ -51,6 +51,7 @@ def chunks(batches: Iterator[pa.RecordBatch], column: str, chars: int = 1_000_00
                 start, total = i + 1, 0
         if start < batch.num_rows:
             yield batch.slice(start)
+    pa.default_memory_pool().release_unused()
 
 
 def plain(df: DataFrame, *columns: str) -> DataFrame:
