@@ -191,7 +191,9 @@ class Models:
 
         A class takes its largest cross-entropy but for one text in a thousand, and slack; a class with
         under 20 texts takes the next longer class's limit and more slack (so does one at the long end
-        of what it has).
+        of what it has). A language without a class of 20 takes
+        one limit from all its texts; with under 20 texts, from those of all languages too, and more slack.
+        Only without a single text at all no limit is known and nothing is rejected.
         """
         index = {lang: i for i, lang in enumerate(self.languages)}
         found: dict[tuple[int, int], list[float]] = {}
@@ -208,6 +210,18 @@ class Models:
                     last += SLACK
                 if last is not None:
                     self.limits[k, lang] = last
+        pool = [e for own in found.values() for e in own]
+        for lang in range(len(self.languages)):
+            if np.isinf(self.limits[:, lang]).all() and pool:
+                classes = [k for k in range(len(LENGTHS) + 1) if (k, lang) in found]
+                own = [e for k in classes for e in found[k, lang]]
+                if len(own) >= 20:
+                    limit = float(np.quantile(own, 0.999)) + SLACK
+                else:
+                    limit = max([float(np.quantile(pool, 0.999)), *own]) + 2 * SLACK
+                shortest = min(classes or [k for k, _ in found])
+                for k in range(len(LENGTHS) + 1):
+                    self.limits[k, lang] = limit + SLACK * max(0, shortest - k)
         for k in range(1, len(LENGTHS) + 1):
             self.limits[k] = np.where(np.isinf(self.limits[k]), self.limits[k - 1], self.limits[k])
         judged = [(index[lang], np.array(e)) for lang, n, e in rows if n and lang in index]

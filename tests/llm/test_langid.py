@@ -86,6 +86,18 @@ def test_nulls_short_long_and_foreign_texts(spark):
     assert langid.predict(asked.limit(0), models).count() == 0
 
 
+def test_few_texts_calibrate_too():
+    rng = np.random.default_rng(3)
+    known = {"en": "the quick brown fox jumps over lazy dog and then it rests in shade".split(), "fr": "le renard brun saute par dessus chien qui dort encore sous un arbre".split()}
+    texts = {lang: [" ".join(rng.choice(w, 12)) for _ in range(50 if lang == "en" else 20)] for lang, w in known.items()}
+    models = models_of(**{lang: " ".join(t[len(t) // 5 :]) for lang, t in texts.items()})
+    models.calibrate([(lang, *models.entropies(t)) for lang, ts in texts.items() for t in ts[: len(ts) // 5]])
+    assert np.isfinite(models.limits).all()
+    letters = ["".join(rng.choice(list("bcdfghjkqvwxz "), 300)) for _ in range(20)]
+    assert all(models.predict(t)[2] for t in letters)
+    assert not any(models.predict(t)[2] for ts in texts.values() for t in ts)
+
+
 def test_held_out_accuracy_on_the_whole_table(spark):
     langs = {r.doc_id: (r.lang, r.text) for r in spark.read.parquet(f"{AT}/documents.parquet").collect()}
     got = QUERIES["op3_language_id"](spark, AT).collect()
