@@ -1,7 +1,7 @@
 import json
 
 import pytest
-from conftest import ITEMS
+from samples import ITEMS
 
 from tallyforge import schemas as S
 from tallyforge.operators.contract import split_quarantine
