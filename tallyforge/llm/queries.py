@@ -9,7 +9,7 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm import bpe, digest, forest, jaccard, langid, license, mixing, quality, urls, warc
+from tallyforge.llm import bpe, digest, forest, jaccard, langid, license, mixing, quality, topk, urls, warc
 from tallyforge.llm.common import remainder
 from tallyforge.session import settle
 
@@ -248,3 +248,23 @@ def _(spark, sf_dir):
 @register("op7_prefix_forest")
 def _(spark, sf_dir):
     return forest.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+# ------------------------------------------------------------- exact top-k ---
+@register(
+    "op12_exact_topk",
+    r"""
+with usable as (
+    select row_number() over () as row, vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as v
+    from embeddings
+    where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (
+    select q.row, q.vec_id as query_id, c.vec_id, list_inner_product(q.v, c.v)::bigint as score, c.row as other
+    from usable q join usable c on q.row <> c.row and len(q.v) = len(c.v)
+    where q.vec_id % 50 = 0),
+ranked as (select *, row_number() over (partition by row order by score desc, vec_id nulls last, other) as rank from scored)
+select query_id, rank::int as rank, vec_id, score from ranked where rank <= 5
+""",
+)
+def _(spark, sf_dir):
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
