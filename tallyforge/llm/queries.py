@@ -9,7 +9,7 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.llm import bpe, digest, forest, jaccard, langid, license, mixing, quality, topk, urls, warc
+from tallyforge.llm import align, bpe, digest, forest, jaccard, langid, license, mixing, quality, repair, topk, urls, warc
 from tallyforge.llm.common import remainder
 from tallyforge.session import settle
 
@@ -268,3 +268,82 @@ select query_id, rank::int as rank, vec_id, score from ranked where rank <= 5
 )
 def _(spark, sf_dir):
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+# ------------------------------------------------------------- two tokenizers ---
+@register("op11_token_alignment")
+def _(spark, sf_dir):
+    names = tokenizers()
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return align.measure(docs, names.path("byte_bpe_50k.json"), names.path("piece_bpe_32k.model"))
+
+
+# ------------------------------------------------------------- conversations ---
+@register(
+    "op13_conversation_repair",
+    r"""
+with recursive crc as (
+    select [list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) for i in range(256)] as t),
+source as (
+    select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+        coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') as id
+    from conversations),
+drawn as (
+    select conv_id, turn, role, text, xor(list_reduce(list_concat([4294967295::bigint], [ascii(c)::bigint for c in string_split(id, '')]),
+        lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 20 as draw
+    from source, crc),
+hurt as (
+    select conv_id, turn, case when draw = 4 then 'user' else role end as role,
+        case when draw = 1 then '' when draw = 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
+        unnest(case when draw = 0 then []::int[] when draw = 3 then [1, 2] else [1] end) as copy
+    from drawn),
+placed as (
+    select *, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as trimmed,
+        row_number() over (partition by conv_id order by turn nulls first, role, text[1:64], md5(strlen(role)::varchar || ':' || role || text), copy) as pos
+    from hurt),
+judged as (
+    select conv_id, turn, role, text, pos, role[1:1] as i,
+        case when trimmed = '' then 'blank'
+            when row_number() over (partition by conv_id, role, text order by pos) > 1 then 'duplicate'
+            when trimmed[-1:] not in ('.', '!', '?') then 'truncated' else '' end as fault,
+        lag(role[1:1]) over (partition by conv_id order by pos) as before
+    from placed),
+walk as (
+    select conv_id, 0::bigint as pos, {'c': 0::bigint, 's': '', 'o': []::varchar[]} as e, {'c': 1000000000::bigint, 's': '~', 'o': []::varchar[]} as s,
+        {'c': 3::bigint, 's': 'I', 'o': ['user:']} as u, {'c': 6::bigint, 's': 'II', 'o': ['user:', 'assistant:']} as a
+    from (select distinct conv_id from conversations)
+    union all
+    select conv_id, pos, e, s, u, least(a, {'c': u.c + 3, 's': u.s || 'I', 'o': list_append(u.o, 'assistant:')}) as a
+    from (
+        select conv_id, pos, e, s, a, least(u, {'c': e.c + 3, 's': e.s || 'I', 'o': list_append(e.o, 'user:')},
+            {'c': s.c + 3, 's': s.s || 'I', 'o': list_append(s.o, 'user:')}, {'c': a.c + 3, 's': a.s || 'I', 'o': list_append(a.o, 'user:')}) as u
+        from (
+            select w.conv_id, j.pos, {'c': w.e.c + 4, 's': w.e.s || 'D', 'o': w.e.o} as e,
+                least({'c': w.s.c + 4, 's': w.s.s || 'D', 'o': w.s.o},
+                    {'c': w.e.c + pen + case when i = 's' then 0 else 1000000000 end, 's': w.e.s || 'K', 'o': list_append(w.e.o, role || ':' || text)}) as s,
+                least({'c': w.u.c + 4, 's': w.u.s || 'D', 'o': w.u.o},
+                    {'c': w.e.c + pen + case when i = 'u' then 0 else 1000000000 end, 's': w.e.s || 'K', 'o': list_append(w.e.o, role || ':' || text)},
+                    {'c': w.s.c + pen + case when i = 'u' then 0 else 1000000000 end, 's': w.s.s || 'K', 'o': list_append(w.s.o, role || ':' || text)},
+                    {'c': w.a.c + pen + case when i = 'u' then 0 else 1000000000 end, 's': w.a.s || 'K', 'o': list_append(w.a.o, role || ':' || text)},
+                    {'c': w.e.c + pen + 3, 's': w.e.s || 'R', 'o': list_append(w.e.o, 'user:' || text)},
+                    {'c': w.s.c + pen + 3, 's': w.s.s || 'R', 'o': list_append(w.s.o, 'user:' || text)},
+                    {'c': w.a.c + pen + 3, 's': w.a.s || 'R', 'o': list_append(w.a.o, 'user:' || text)}) as u,
+                least({'c': w.a.c + 4, 's': w.a.s || 'D', 'o': w.a.o},
+                    {'c': w.u.c + pen + case when i = 'a' then 0 else 1000000000 end, 's': w.u.s || 'K', 'o': list_append(w.u.o, role || ':' || text)},
+                    {'c': w.u.c + pen + 3, 's': w.u.s || 'R', 'o': list_append(w.u.o, 'assistant:' || text)}) as a
+            from walk w join (select *, case fault when 'truncated' then 3 when '' then 0 else 1000000000 end as pen from judged) j
+                on j.conv_id is not distinct from w.conv_id and j.pos = w.pos + 1))),
+ended as (select conv_id, arg_max(least(e, a), pos) as best from walk group by conv_id),
+counted as (
+    select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (fault = 'blank') as blank,
+        count(*) filter (fault = 'duplicate') as duplicate, count(*) filter (fault = 'truncated') as truncated,
+        count(*) filter (before is not null and before || i not in ('su', 'ua', 'au')) as illegal
+    from judged group by conv_id)
+select e.conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0)::bigint as blank, coalesce(duplicate, 0)::bigint as duplicate,
+    coalesce(truncated, 0)::bigint as truncated, coalesce(illegal, 0)::bigint as illegal, best.c::bigint as cost, best.s as audit,
+    sha256(array_to_string(best.o, chr(10))) as repaired_sha256
+from ended e left join counted c on c.conv_id is not distinct from e.conv_id
+""",
+)
+def _(spark, sf_dir):
+    return repair.digests(repair.repair(repair.damaged(table(spark, sf_dir, "conversations"))))
