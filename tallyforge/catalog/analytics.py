@@ -491,6 +491,45 @@ def _(t):
     return t.spark.createDataFrame(sorted(flat.items()), "metric string, value double")
 
 
+@register("model_floor", "select * from (values ('pr_auc', 0.75e0, true), ('roc_auc', 0.9e0, true)) v(metric, floor, holds)")
+def _(t):
+    """The floors below which a model must not be released, and whether the fitted one holds them."""
+    _, fitted = trained(t)
+    floors = [("pr_auc", 0.75), ("roc_auc", 0.9)]
+    return t.spark.createDataFrame([(m, f, fitted.metrics[m] >= f) for m, f in floors], "metric string, floor double, holds boolean")
+
+
+GAIN_FEATURES = ["total", "subtotal", "tax", "image_quality"]
+
+
+@register(
+    "split_gains",
+    """select feature, cut, left_rows, case when lh >= 2 and ah - lh >= 2
+         then (lg * lg / (lh + 1.5e0) + (ag - lg) * (ag - lg) / (ah - lh + 1.5e0) - ag * ag / (ah + 1.5e0)) / 2 else 0e0 end as gain
+       from (select c.feature, c.cut, cast(count(*) filter (x <= cut) as bigint) as left_rows,
+               cast(coalesce(sum(g) filter (x <= cut), 0) as bigint) / 16777216e0 as lg, cast(coalesce(sum(h) filter (x <= cut), 0) as bigint) / 16777216e0 as lh,
+               cast(sum(g) as bigint) / 16777216e0 as ag, cast(sum(h) as bigint) / 16777216e0 as ah
+             from g_cuts c join g_rows r on r.feature = c.feature group by c.feature, c.cut)""",
+    {
+        "g_sides": "select greatest(sum(is_anomaly), 1) as pos, greatest(sum(1 - is_anomaly), 1) as neg from b_clean",
+        "g_heads": """select *, cast(round((0.5e0 - is_anomaly) * w * 16777216) as bigint) as g, cast(round(0.25e0 * w * 16777216) as bigint) as h
+            from (select b.*, case when is_anomaly = 1 then neg / cast(pos as double) else 1e0 end as w from b_clean b join g_sides on true)""",
+        "g_rows": " union all ".join(f"select '{f}' as feature, coalesce(cast({f} as double), 'inf'::double) as x, g, h from g_heads" for f in GAIN_FEATURES),
+        "g_cuts": """select distinct feature, x as cut from (
+              select feature, x, row_number() over (partition by feature order by x) as rn, count(*) over (partition by feature) as n, max(x) over (partition by feature) as most
+              from g_rows where isfinite(x)) join range(1, 16) s(i) on true
+            where rn = ceil(i / 16e0 * n) and x < most""",
+    },
+)
+def _(t):
+    """What each cut of the root would bring a fit on clean receipts in its first round."""
+    from tallyforge.operators import boosting
+
+    heads = contract.tag_reasons(bridge.flat_receipts(t), AS_OF).where("quarantine_reason is null")
+    heads = settle(heads.select(*GAIN_FEATURES, "is_anomaly"))
+    return boosting.root_gains(heads, GAIN_FEATURES, "is_anomaly", boosting.cuts(heads, GAIN_FEATURES, 16))
+
+
 @register("anomaly_scores")
 def _(t):
     feats, fitted = trained(t)
@@ -500,19 +539,19 @@ def _(t):
 @register("gain_importance")
 def _(t):
     _, fitted = trained(t)
-    return model.gain_importance(t.spark, fitted.pipeline)
+    return model.gain_importance(t.spark, fitted.booster)
 
 
 @register("attributions")
 def _(t):
     feats, fitted = trained(t)
-    return attribution.explain(fitted.pipeline, feats)
+    return attribution.explain(fitted.booster, feats)
 
 
 @register("global_attribution")
 def _(t):
     feats, fitted = trained(t)
-    return attribution.global_importance(fitted.pipeline, feats)
+    return attribution.global_importance(fitted.booster, feats)
 
 
 @register("scored_batch")
@@ -536,14 +575,11 @@ def _(t):
 @register("attributions_add_up", "select receipt_id, true as additive from b_clean")
 def _(t):
     """Base value and attributions of each clean receipt sum to the model's margin."""
-    from pyspark.ml.functions import vector_to_array
-
     _, fitted = trained(t)
     feats = settle(features.build_features(stored_nested(t)))
-    # Spark's margin is half the log-odds.
-    margin = fitted.pipeline.transform(feats).select("receipt_id", (2 * vector_to_array("rawPrediction")[1]).alias("margin"))
+    margin = feats.select("receipt_id", fitted.booster.margin().alias("margin"))
     total = F.col("base_value") + F.aggregate("values", F.lit(0.0), lambda s, v: s + v)
-    return attribution.attributions(fitted.pipeline, feats).join(margin, "receipt_id").select(
+    return attribution.attributions(fitted.booster, feats).join(margin, "receipt_id").select(
         "receipt_id", (F.abs(total - F.col("margin")) < 1e-6).alias("additive")
     )
 

@@ -2,7 +2,7 @@
 
 A leaf of depth at most five tests at most five features, so a row meets a leaf
 in at most 32 ways: which of its features satisfy the leaf's interval. The share
-of each feature is tabled per leaf and way once, from the trees' own row counts;
+of each feature is tabled per leaf and way once, from the trees' own curvature sums;
 tasks then look rows up batch by batch.
 """
 
@@ -11,43 +11,27 @@ from __future__ import annotations
 from math import factorial
 
 import numpy as np
-from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge import schemas as S
-from tallyforge.session import scratch_path
+from tallyforge.operators.boosting import Booster
 
 _CELLS_PER_STEP = 2_000_000
 
 
-def _tree_nodes(spark: SparkSession, pipeline: PipelineModel) -> dict[int, dict[int, dict]]:
-    """Nodes by tree from the saved booster; its size is the model's, not the data's."""
-    path = scratch_path(spark, "booster")
-    pipeline.stages[-1].write().overwrite().save(path)
-    rows = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*").collect()
-    trees: dict[int, dict[int, dict]] = {}
-    for r in rows:
-        trees.setdefault(r["treeID"], {})[r["id"]] = r.asDict(recursive=True)
-    return trees
-
-
-def _leaves(nodes: dict[int, dict], weight: float):
-    """(value, {feature: [low, high, share of rows kept]}) per leaf."""
-    todo = [(0, {})]
+def _leaves(nodes: dict[int, tuple]):
+    """(value, {feature: [low, high, share of curvature kept]}) per leaf of a tree; nodes are (feature, cut, cover, value)."""
+    todo = [(1, {})]
     while todo:
         at, path = todo.pop()
-        node = nodes[at]
-        if node["leftChild"] < 0:
-            yield node["prediction"] * weight, path
+        feature, cut, cover, value = nodes[at]
+        if feature < 0:
+            yield value, path
             continue
-        feature = node["split"]["featureIndex"]
-        cut = node["split"]["leftCategoriesOrThreshold"][0]
-        for side, child in ((0, node["leftChild"]), (1, node["rightChild"])):
-            low, high, kept = path.get(feature, (-np.inf, np.inf, 1.0))
-            low, high = (low, min(high, cut)) if side == 0 else (max(low, cut), high)
-            share = nodes[child]["rawCount"] / node["rawCount"]
-            todo.append((child, {**path, feature: (low, high, kept * share)}))
+        low, high, kept = path.get(feature, (-np.inf, np.inf, 1.0))
+        for child, sides in ((2 * at, (low, min(high, cut))), (2 * at + 1, (max(low, cut), high))):
+            todo.append((child, {**path, feature: (*sides, kept * nodes[child][2] / cover)}))
 
 
 def _shares(value: float, kept: list[float]) -> np.ndarray:
@@ -72,15 +56,11 @@ def _shares(value: float, kept: list[float]) -> np.ndarray:
 class LeafTable:
     """Arrays over all leaves, padded to the widest leaf."""
 
-    def __init__(self, spark: SparkSession, pipeline: PipelineModel):
-        booster = pipeline.stages[-1]
-        weights = booster.treeWeights
-        leaves = [
-            leaf
-            for tree, nodes in sorted(_tree_nodes(spark, pipeline).items())
-            # Spark's margin is half the log-odds.
-            for leaf in _leaves(nodes, 2.0 * weights[tree])
-        ]
+    def __init__(self, booster: Booster):
+        trees: dict[int, dict[int, tuple]] = {}
+        for r in booster.nodes.itertuples():
+            trees.setdefault(r.tree, {})[r.node] = (r.feature, r.cut, r.cover, r.value)
+        leaves = [leaf for _, nodes in sorted(trees.items()) for leaf in _leaves(nodes)]
         width = max((len(p) for _, p in leaves), default=0)
         self.base = float(sum(v * np.prod([k for *_, k in p.values()]) for v, p in leaves))
         leaves = [leaf for leaf in leaves if leaf[1]]
@@ -117,10 +97,9 @@ class LeafTable:
         return out
 
 
-def attributions(pipeline: PipelineModel, features: DataFrame) -> DataFrame:
+def attributions(booster: Booster, features: DataFrame) -> DataFrame:
     """(receipt_id, base_value, values): values in model column order, log-odds units."""
-    spark = features.sparkSession
-    table = spark.sparkContext.broadcast(LeafTable(spark, pipeline))
+    table = features.sparkSession.sparkContext.broadcast(LeafTable(booster))
 
     def per_batch(batches):
         leaves = table.value
@@ -175,8 +154,8 @@ def explain_values(values: DataFrame, names: list[str] = S.FEATURE_COLUMNS, top_
     )
 
 
-def explain(pipeline: PipelineModel, features: DataFrame, top_k: int = 3) -> DataFrame:
-    return explain_values(attributions(pipeline, features), top_k=top_k)
+def explain(booster: Booster, features: DataFrame, top_k: int = 3) -> DataFrame:
+    return explain_values(attributions(booster, features), top_k=top_k)
 
 
 def mean_abs(values: DataFrame, names: list[str] = S.FEATURE_COLUMNS) -> DataFrame:
@@ -189,5 +168,5 @@ def mean_abs(values: DataFrame, names: list[str] = S.FEATURE_COLUMNS) -> DataFra
     )
 
 
-def global_importance(pipeline: PipelineModel, features: DataFrame) -> DataFrame:
-    return mean_abs(attributions(pipeline, features))
+def global_importance(booster: Booster, features: DataFrame) -> DataFrame:
+    return mean_abs(attributions(booster, features))

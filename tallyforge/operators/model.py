@@ -1,86 +1,52 @@
-"""Gradient-boosted anomaly scorer on Spark ML: train, evaluate, persist, score."""
+"""Gradient-boosted anomaly scorer: train, evaluate, persist, score."""
 
 from __future__ import annotations
 
 import json
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyforge import schemas as S
 from tallyforge.operators import metrics as M
+from tallyforge.operators import boosting
+from tallyforge.operators.boosting import Booster, Settings
 from tallyforge.operators.features import time_split
 from tallyforge.session import settle
 
-# Boosting parameters.
-ROUNDS = 400
-DEPTH = 5
-LEARNING_RATE = 0.06
-ROW_SHARE = 0.9
-COLUMN_SHARE = "0.8"
-MIN_LEAF_ROWS = 2
+# Boosting parameters are those of Settings.
+ROUNDS = Settings.rounds
 QUEUE_FRACTIONS = [0.01, 0.05, 0.10]
 
 
 @dataclass
 class AnomalyModel:
-    pipeline: PipelineModel
+    booster: Booster
     threshold: float
     metrics: dict
 
-    @property
-    def booster(self):
-        return self.pipeline.stages[-1]
 
-
-def probabilities(model: PipelineModel, features: DataFrame, name: str = "anomaly_score") -> DataFrame:
+def probabilities(booster: Booster, features: DataFrame, name: str = "anomaly_score") -> DataFrame:
     """``features`` with the positive-class probability in ``name``."""
-    out = model.transform(features)
-    return out.withColumn(name, vector_to_array("probability")[1]).drop(
-        "_inputs", "rawPrediction", "probability", "prediction"
-    )
+    return features.withColumn(name, 1 / (1 + F.exp(-booster.margin())))
 
 
-def fit(train: DataFrame, seed: int = 42, rounds: int = ROUNDS) -> PipelineModel:
-    """Boosted trees; positives are weighted so both classes carry the same total."""
-    counts = train.agg(
-        F.greatest(F.sum("is_anomaly"), F.lit(1)).alias("pos"),
-        F.greatest(F.sum(1 - F.col("is_anomaly")), F.lit(1)).alias("neg"),
-    ).first()
-    weight = F.when(F.col("is_anomaly") == 1, counts["neg"] / counts["pos"]).otherwise(1.0)
-    booster = GBTClassifier(
-        featuresCol="_inputs",
-        labelCol="is_anomaly",
-        weightCol="_weight",
-        maxIter=rounds,
-        maxDepth=DEPTH,
-        stepSize=LEARNING_RATE,
-        subsamplingRate=ROW_SHARE,
-        featureSubsetStrategy=COLUMN_SHARE,
-        minInstancesPerNode=MIN_LEAF_ROWS,
-        checkpointInterval=10,
-        seed=seed,
-    )
-    assembler = VectorAssembler(inputCols=S.FEATURE_COLUMNS, outputCol="_inputs")
-    return Pipeline(stages=[assembler, booster]).fit(train.withColumn("_weight", weight))
+def fit(train: DataFrame, seed: int = 42, rounds: int = ROUNDS) -> Booster:
+    return boosting.fit(train, S.FEATURE_COLUMNS, "is_anomaly", "receipt_id", Settings(rounds=rounds, seed=seed))
 
 
 def train(features: DataFrame, seed: int = 42, rounds: int = ROUNDS) -> AnomalyModel:
     """Fit on the earlier part, pick the threshold there, report on the later part."""
     features = settle(features)
     earlier, later = time_split(features)
-    pipeline = fit(earlier, seed, rounds)
-    scored_train = settle(probabilities(pipeline, earlier).select("receipt_id", "anomaly_score", "is_anomaly"))
+    booster = fit(earlier, seed, rounds)
+    scored_train = settle(probabilities(booster, earlier).select("receipt_id", "anomaly_score", "is_anomaly"))
     best = M.best_threshold(M.score_curve(scored_train, "anomaly_score", "is_anomaly")).first()
     raw_threshold = best["threshold"] if best["threshold"] is not None else 0.5
     keep = [c for c in ("anomaly_type",) if c in features.columns]
     scored = settle(
-        probabilities(pipeline, later)
+        probabilities(booster, later)
         .select("receipt_id", "anomaly_score", "is_anomaly", *keep)
         .withColumn("is_flagged", (F.col("anomaly_score") >= F.lit(raw_threshold)).cast("int"))
     )
@@ -113,22 +79,20 @@ def train(features: DataFrame, seed: int = 42, rounds: int = ROUNDS) -> AnomalyM
         "recall_at_threshold": rounded(hits["recall_at_threshold"]),
         "recall_by_anomaly_type": by_type,
         "feature_importance": {
-            r["feature"]: round(r["importance"], 5) for r in gain_importance(features.sparkSession, pipeline).collect()
+            r["feature"]: round(r["importance"], 5) for r in gain_importance(features.sparkSession, booster).collect()
         },
     }
-    return AnomalyModel(pipeline, report["threshold"], report)
+    return AnomalyModel(booster, report["threshold"], report)
 
 
-def gain_importance(spark: SparkSession, pipeline: PipelineModel) -> DataFrame:
+def gain_importance(spark: SparkSession, booster: Booster) -> DataFrame:
     """(feature, importance), strongest first: one row per model column."""
-    values = [float(v) for v in pipeline.stages[-1].featureImportances.toArray()]
-    return spark.createDataFrame(
-        list(zip(S.FEATURE_COLUMNS, values, strict=True)), "feature string, importance double"
-    ).orderBy(F.desc("importance"), "feature")
+    rows = spark.createDataFrame(booster.importance(), "feature string, importance double")
+    return rows.orderBy(F.desc("importance"), "feature")
 
 
 def save(model: AnomalyModel, spark: SparkSession, path: str) -> None:
-    model.pipeline.write().overwrite().save(f"{path}/booster")
+    model.booster.save(spark, f"{path}/booster")
     report = spark.createDataFrame(
         [(model.threshold, json.dumps(model.metrics), S.FEATURE_COLUMNS)],
         "threshold double, metrics string, features array<string>",
@@ -138,12 +102,12 @@ def save(model: AnomalyModel, spark: SparkSession, path: str) -> None:
 
 def load(spark: SparkSession, path: str) -> AnomalyModel:
     row = spark.read.schema("threshold double, metrics string").json(f"{path}/report").first()
-    return AnomalyModel(PipelineModel.load(f"{path}/booster"), row["threshold"], json.loads(row["metrics"]))
+    return AnomalyModel(Booster.load(spark, f"{path}/booster"), row["threshold"], json.loads(row["metrics"]))
 
 
 def score(model: AnomalyModel, features: DataFrame) -> DataFrame:
     """receipt_id, submitted_at, anomaly_score, is_flagged at the stored four-decimal threshold."""
-    return probabilities(model.pipeline, features).select(
+    return probabilities(model.booster, features).select(
         "receipt_id",
         "submitted_at",
         "anomaly_score",

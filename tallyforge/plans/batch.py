@@ -72,7 +72,7 @@ def run(
     if trained is None:
         trained = model.train(feats, seed=seed, rounds=rounds)
         model.save(trained, spark, model_path)
-    scored = settle(model.probabilities(trained.pipeline, feats))
+    scored = settle(model.probabilities(trained.booster, feats))
     flagged = scored.withColumn(
         "is_flagged", (F.col("anomaly_score") >= F.lit(trained.threshold)).cast("int")
     )
@@ -85,7 +85,7 @@ def run(
         )
     )
     fair, violations = drift.fairness_gate(slices)
-    values = settle(attribution.attributions(trained.pipeline, feats))
+    values = settle(attribution.attributions(trained.booster, feats))
     later_ids = later.select("receipt_id")
     frames = {
         "quarantine": held,

@@ -38,5 +38,5 @@ def score_batch(
     # scores and reasons both read the features
     feats = settle(features.build_features(clean, reference))
     scores = model.score(trained, feats)
-    reasons = attribution.explain(trained.pipeline, feats)
+    reasons = attribution.explain(trained.booster, feats)
     return ScoredBatch(clean, held, assemble(clean, scores, reasons))

@@ -1,7 +1,6 @@
 import json
 
 import pytest
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tallyforge import bridge, schemas as S
@@ -112,8 +111,8 @@ def test_model_scores_and_reasons(spark, tables):
     assert fitted.threshold == round(fitted.threshold, 4) == m["threshold"]
     scored = model.score(fitted, feats)
     assert scored.where("anomaly_score < 0 or anomaly_score > 1").isEmpty()
-    raw = fitted.pipeline.transform(feats).select("receipt_id", (2 * vector_to_array("rawPrediction")[1]).alias("margin"))
-    values = settle(attribution.attributions(fitted.pipeline, feats))
+    raw = feats.select("receipt_id", fitted.booster.margin().alias("margin"))
+    values = settle(attribution.attributions(fitted.booster, feats))
     total = F.col("base_value") + F.aggregate("values", F.lit(0.0), lambda a, x: a + x)
     assert raw.join(values, "receipt_id").agg(F.max(F.abs(F.col("margin") - total))).first()[0] < 1e-9
     told = attribution.explain_values(values)
