@@ -21,7 +21,9 @@ columns of the table are ignored; an empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import re
 from collections.abc import Callable, Iterator
 from functools import cache
 
@@ -46,17 +48,45 @@ def byte_of_char() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
+#: Up to this character both engines below know every letter, digit and space alike (a test goes through them all).
+_ALIKE = re.compile("[^\x00-\u024f]")
+
+
 @cache
-def byte_level(path: str) -> tuple[Callable, list[bytes]]:
-    """Encoder of a byte-level JSON vocabulary, and the bytes of each id. The text gets a blank in front."""
+def byte_level(path: str, pattern: str) -> tuple[Callable, list[bytes]]:
+    """Encoder of a byte-level JSON vocabulary, and the bytes of each id. The text gets a blank in front.
+
+    Where the file's merges come in the order of their ids, they are ranks, and texts of characters that both
+    engines class alike go through the faster one; all others go through the file's own library.
+    """
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    import tiktoken
     from tokenizers import Tokenizer
 
     tool = Tokenizer.from_file(path)
     tool.encode_special_tokens = True
     spelt = byte_of_char()
     known = [bytes(spelt[c] for c in (tool.id_to_token(i) or "") if c in spelt) for i in range(tool.get_vocab_size())]
-    return lambda texts: [e.ids for e in tool.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)], known
+    with open(path, encoding="utf-8") as file:
+        model = json.load(file)["model"]
+    merged = ["".join(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
+    in_order = [model["vocab"][m] for m in merged] == list(range(256, 256 + len(merged)))
+    quick = None
+    if in_order and sorted(known[:256]) == [bytes([b]) for b in range(256)]:
+        quick = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks={t: i for i, t in enumerate(known[: 256 + len(merged)])}, special_tokens={})
+
+    def encode(texts: list[str]) -> list:
+        out, rest = [None] * len(texts), []
+        for i, text in enumerate(texts):
+            if quick is not None and not _ALIKE.search(text):
+                out[i] = quick.encode_to_numpy(" " + text, disallowed_special=())
+            else:
+                rest.append(i)
+        for i, e in zip(rest, tool.encode_batch_fast([" " + texts[i] for i in rest], add_special_tokens=False)):
+            out[i] = np.array(e.ids, np.uint32)
+        return out
+
+    return encode, known
 
 
 @cache
@@ -75,56 +105,61 @@ def pieces(path: str) -> tuple[Callable, list[bytes]]:
 class Pair:
     """Both tokenizers with their tables by id: lengths in bytes and the spellings that digests are made of."""
 
-    def __init__(self, path_a: str, path_b: str):
-        (self.encode_a, self.bytes_a), (self.encode_b, self.bytes_b) = byte_level(path_a), pieces(path_b)
+    def __init__(self, path_a: str, path_b: str, pattern: str):
+        (self.encode_a, self.bytes_a), (self.encode_b, self.bytes_b) = byte_level(path_a, pattern), pieces(path_b)
         self.len_a, self.len_b = (np.array([len(t) for t in known], np.int64) for known in (self.bytes_a, self.bytes_b))
         self.base = len(self.bytes_b)
         #: Spelling of an id by what follows it: A inside a group, A at its end, B inside, B at its end.
-        self.spell = [f"{i}{end}".encode() for known, ends in ((self.bytes_a, ",|"), (self.bytes_b, ",;")) for end in ends for i in range(len(known))]
+        self.spell = np.array([f"{i}{end}" for known, ends in ((self.bytes_a, ",|"), (self.bytes_b, ",;")) for end in ends for i in range(len(known))], "S")
 
     def ids(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray] | None]:
         """Ids of both sides, or None where the bytes do not come out."""
         out = []
         for text, a, b in zip(texts, self.encode_a(texts), self.encode_b(texts)):
             want = b" " + text.encode()
-            ok = b"".join(map(self.bytes_a.__getitem__, a)) == want and b"".join(map(self.bytes_b.__getitem__, b)) == want
-            out.append((np.array(a, np.int64), np.array(b, np.int64)) if ok else None)
+            ok = b"".join(map(self.bytes_a.__getitem__, a.tolist())) == want and b"".join(map(self.bytes_b.__getitem__, b)) == want
+            out.append((a.astype(np.int64), np.array(b, np.int64)) if ok else None)
         return out
 
     def align(self, a: np.ndarray, b: np.ndarray):
         """Links as packed id pairs, number of groups, digest of the groups."""
         end_a, end_b = np.cumsum(self.len_a[a]), np.cumsum(self.len_b[b])
-        ends = np.union1d(end_a, end_b)
-        links = a[np.searchsorted(end_a, ends)] * self.base + b[np.searchsorted(end_b, ends)]
-        cuts = np.intersect1d(end_a, end_b, assume_unique=False)
-        group_a, group_b = np.searchsorted(cuts, end_a), np.searchsorted(cuts, end_b)
-        last_a, last_b = np.append(group_a[1:] != group_a[:-1], True), np.append(group_b[1:] != group_b[:-1], True)
-        na, nb = len(self.bytes_a), len(self.bytes_b)
-        # In the text of groups a token comes after the tokens of its side so far and those of the other side's groups before.
-        size_a, size_b = np.bincount(group_a, minlength=len(cuts)), np.bincount(group_b, minlength=len(cuts))
+        # By byte offset: 1 where an A token ends, 2 where a B token does, 3 where a group does.
+        mark = np.zeros(end_a[-1] + 1, np.uint8)
+        mark[end_a] = 1
+        mark[end_b] += 2
+        kinds = mark[np.flatnonzero(mark)]
+        is_a, is_b, both = kinds != 2, kinds != 1, kinds == 3
+        # The token that covers the stretch before an end is the next of its side to end.
+        links = a[np.cumsum(is_a) - is_a] * self.base + b[np.cumsum(is_b) - is_b]
+        before = np.cumsum(both) - both
+        group_a, group_b = before[is_a], before[is_b]
+        groups = int(both.sum())
+        # In the text of groups a token comes after its side's tokens so far and those of the other side's groups before.
+        size_a, size_b = np.bincount(group_a, minlength=groups), np.bincount(group_b, minlength=groups)
         codes = np.empty(len(a) + len(b), np.int64)
-        codes[np.arange(len(a)) + (np.cumsum(size_b) - size_b)[group_a]] = a + last_a * na
-        codes[np.arange(len(b)) + np.cumsum(size_a)[group_b]] = 2 * na + b + last_b * nb
-        shown = b"".join(map(self.spell.__getitem__, codes.tolist()))
-        return links, len(cuts), hashlib.sha256(shown[:-1]).hexdigest()
+        codes[np.arange(len(a)) + (np.cumsum(size_b) - size_b)[group_a]] = a + both[is_a] * len(self.bytes_a)
+        codes[np.arange(len(b)) + np.cumsum(size_a)[group_b]] = 2 * len(self.bytes_a) + b + both[is_b] * len(self.bytes_b)
+        shown = self.spell[codes].tobytes().translate(None, b"\0")
+        return links, groups, hashlib.sha256(shown[:-1]).hexdigest()
 
 
 @cache
-def _pair(path_a: str, path_b: str) -> Pair:
-    return Pair(path_a, path_b)
+def _pair(path_a: str, path_b: str, pattern: str) -> Pair:
+    return Pair(path_a, path_b, pattern)
 
 
 def text_key(text: Column) -> Column:
     return F.concat(F.md5(text), F.lit("-"), F.octet_length(text).cast("string"))
 
 
-def aligned(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
+def aligned(docs: DataFrame, path_a: str, path_b: str, pattern: str) -> DataFrame:
     """One row per distinct text that has any: key, rows with it (n), measures, and its links as packed pairs."""
     workers_import_here(docs.sparkSession)
     distinct = docs.where("text is not null and text <> ''").groupBy("text").agg(F.count("*").alias("n"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both = _pair(path_a, path_b)
+        both = _pair(path_a, path_b, pattern)
         for batch in chunks(batches, "text"):
             rows = []
             known = zip(batch.column("key").to_pylist(), batch.column("n").to_pylist(), both.ids(batch.column("text").to_pylist()))
@@ -167,9 +202,9 @@ def link_measures(texts: DataFrame, counts: DataFrame, limit: int = BROADCAST) -
     return met.groupBy("key").agg(F.sum(F.col("best") * F.col("times")).alias("n_best"), F.sum(F.col("count") * F.col("times")).alias("count_sum"))
 
 
-def measure(docs: DataFrame, path_a: str, path_b: str, limit: int = BROADCAST) -> DataFrame:
+def measure(docs: DataFrame, path_a: str, path_b: str, pattern: str, limit: int = BROADCAST) -> DataFrame:
     """Per document: n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256."""
-    texts = settle(aligned(docs, path_a, path_b))
+    texts = settle(aligned(docs, path_a, path_b, pattern))
     counts = with_best(pair_counts(texts), len(pieces(path_b)[1]))
     sums = link_measures(texts, counts, limit)
     measures = settle(texts.drop("links", "n").join(sums, "key", "left"))

@@ -275,7 +275,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     names = tokenizers()
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return align.measure(docs, names.path("byte_bpe_50k.json"), names.path("piece_bpe_32k.model"))
+    return align.measure(docs, names.path("byte_bpe_50k.json"), names.path("piece_bpe_32k.model"), names.PATTERN)
 
 
 # ------------------------------------------------------------- conversations ---

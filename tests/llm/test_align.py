@@ -65,7 +65,7 @@ TEXTS = [
 
 def run(spark, rows, limit=align.BROADCAST):
     df = spark.createDataFrame([(d, t, 1, "k", 2) for d, t in rows], "doc_id long, text string, n long, key string, links int").repartition(3)
-    return sorted((tuple(r) for r in align.measure(df, *PATHS, limit).collect()), key=str)
+    return sorted((tuple(r) for r in align.measure(df, *PATHS, NAMES.PATTERN, limit).collect()), key=str)
 
 
 @pytest.mark.parametrize("limit", [align.BROADCAST, 0])
@@ -96,3 +96,14 @@ def test_query_on_whole_texts(spark):
     out = QUERIES["op11_token_alignment"](spark, at).collect()
     assert sorted(r.doc_id for r in out) == sorted(d for d, _ in rows)
     assert all(r.n_links == r.n_a + r.n_b - r.n_groups for r in out)
+
+
+def test_both_engines_of_the_first_tokenizer_agree():
+    """On every character that lets a text take the faster engine, in all kinds of company."""
+    encode, known = align.byte_level(PATHS[0], NAMES.PATTERN)
+    tool = Tokenizer.from_file(PATHS[0])
+    tool.encode_special_tokens = True
+    texts = [pre + chr(c) + post for c in range(0x250) for pre in ("", "a", "1", "!", " ", "  ", "'") for post in ("", "b", "2", "?", " ", " x", "s")]
+    texts += ["<|endoftext|> plain", "it's they'll I'D   end  ", "\r\n\t x"]
+    assert [x.tolist() for x in encode(texts)] == [tool.encode(" " + t, add_special_tokens=False).ids for t in texts]
+    assert encode(["漢字"])[0].tolist() == tool.encode(" 漢字", add_special_tokens=False).ids
