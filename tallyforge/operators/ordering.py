@@ -49,23 +49,87 @@ def running_totals(df: DataFrame, keys: list[str], order: str, measures: dict[st
     )
 
 
-def exact_quantiles(df: DataFrame, keys: list[str], value: str, points: list[float], weight: str | None = None) -> DataFrame:
-    """Exact linear-interpolated quantiles per key as ``(keys, n, quantiles)``; a row counts ``weight`` times.
+#: Keys with at most so many values are sorted one by one; the rest is bracketed by a sketch of this accuracy.
+SMALL, ACCURACY = 20_000, 10_000
+#: A sketch's answer is at most 2 / ACCURACY of the rows off its rank; brackets reach twice as far to either side,
+#: which for more than SMALL values also covers the few ranks by which definitions of a quantile differ.
+MARGIN = 4 / ACCURACY
 
-    No key's values meet in one task: order statistics are looked up in running
-    counts, and only the few rows around each point reach the final aggregate.
-    """
-    times = F.lit(1) if weight is None else F.col(weight)
-    present = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"), times.alias("_times"))
-    ranked = running_totals(present, keys, "_v", {"n": F.col("_times")})
+
+def _same_keys(keys: list[str], left: DataFrame, right: DataFrame) -> Column:
+    same = F.lit(True)
+    for k in keys:
+        same = same & left[k].eqNullSafe(right[f"_k_{k}"])
+    return same
+
+
+def _named_apart(df: DataFrame, keys: list[str]) -> DataFrame:
+    return df.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *[c for c in df.columns if c not in keys])
+
+
+def _small_quantiles(rows: DataFrame, keys: list[str], points: list[float]) -> DataFrame:
+    """Keys of at most SMALL values: each key's sorted values, looked up by place."""
+    held = rows.groupBy(*keys).agg(F.array_sort(F.collect_list("_v")).alias("_s")).withColumn("n", F.size("_s").cast("bigint"))
+    ends = {}
+    for i, q in enumerate(points):
+        spot = (F.col("n") - 1) * F.lit(float(q))
+        for end, rank in (("lo", F.floor(spot)), ("hi", F.ceil(spot))):
+            ends[f"_{end}{i}"] = F.element_at("_s", (rank + 1).cast("int"))
+    return held.select(*keys, "n", *[c.alias(n) for n, c in ends.items()])
+
+
+def _bracketed(rows: DataFrame, keys: list[str], points: list[float]) -> DataFrame:
+    """Values within a bracket of some quantile stay as they are; all others become one entry per gap between brackets."""
+    asked = [(max(q - MARGIN, 0.0), min(q + MARGIN, 1.0)) for q in points]
+    sketch = rows.groupBy(*keys).agg(
+        F.percentile_approx("_v", [p for pair in asked for p in pair], ACCURACY).alias("_p"), F.min("_v").alias("_least"), F.max("_v").alias("_most")
+    )
+    ends = [
+        F.struct(
+            (F.col("_least") if lo == 0.0 else F.col("_p")[2 * i]).alias("lo"), (F.col("_most") if hi == 1.0 else F.col("_p")[2 * i + 1]).alias("hi")
+        )
+        for i, (lo, hi) in enumerate(asked)
+    ]
+    brackets = settle(_named_apart(sketch.select(*keys, F.array(*ends).alias("_b")), keys))
+    v = F.col("_v")
+    met = rows.join(brackets, _same_keys(keys, rows, brackets))
+    inside = F.exists("_b", lambda b: (b["lo"] <= v) & (v <= b["hi"]))
+    below = F.array_max(F.transform(F.filter("_b", lambda b: b["hi"] < v), lambda b: b["hi"]))
+    return met.select(*keys, F.struct(F.when(inside, v).otherwise(below).alias("at"), (~inside).alias("gap")).alias("_o"))
+
+
+def _large_quantiles(rows: DataFrame, keys: list[str], points: list[float]) -> DataFrame:
+    """Keys with more values: running counts over what the brackets leave, a few thousandths of the values and the gaps."""
+    ranked = running_totals(_bracketed(rows, keys, points), keys, "_o", {"n": F.lit(1)})
     upto = F.col("n_before") + F.col("n")
     aggs = [F.max("n_all").alias("n")]
     for i, q in enumerate(points):
         spot = (F.col("n_all") - 1) * F.lit(float(q))
         for end, rank in (("lo", F.floor(spot)), ("hi", F.ceil(spot))):
             holds = (F.col("n_before") <= rank) & (rank < upto)
-            aggs.append(F.max(F.when(holds, F.col("_v"))).alias(f"_{end}{i}"))
-    picked = ranked.groupBy(*keys).agg(*aggs)
+            found = F.when(F.col("_o.gap"), F.raise_error(F.lit("a quantile lies outside its bracket"))).otherwise(F.col("_o.at"))
+            aggs.append(F.max(F.when(holds, found)).alias(f"_{end}{i}"))
+    return ranked.groupBy(*keys).agg(*aggs)
+
+
+def exact_quantiles(df: DataFrame, keys: list[str], value: str, points: list[float], small: int = SMALL) -> DataFrame:
+    """Exact linear-interpolated quantiles per key as ``(keys, n, quantiles)``; null values are left out.
+
+    Keys are counted first. A key of at most ``small`` values is sorted in one row of its own. For the others one
+    aggregate of mergeable sketches brackets every quantile with a proven error, one more counts what lies between
+    the brackets, and only values inside a bracket are ranked, by running counts in range partitions; so no key's
+    values meet in one task, and of most values only a count moves.
+    """
+    named = keys or ["_all"]
+    present = df.where(F.col(value).isNotNull())
+    rows = present.select(*keys, F.col(value).alias("_v")) if keys else present.select(F.lit(0).alias("_all"), F.col(value).alias("_v"))
+    large = settle(_named_apart(rows.groupBy(*named).agg(F.count("*").alias("_n")).where(F.col("_n") > max(small, 2 / MARGIN)), named).drop("_n"))
+    if large.isEmpty():
+        picked = _small_quantiles(rows, named, points)
+    else:
+        same = _same_keys(named, rows, large)
+        picked = _large_quantiles(rows.join(large, same, "left_semi"), named, points)
+        picked = picked.unionByName(_small_quantiles(rows.join(large, same, "left_anti"), named, points))
     quantiles = []
     for i, q in enumerate(points):
         spot = (F.col("n") - 1) * F.lit(float(q))
@@ -75,8 +139,8 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, points: list[flo
     return picked.select(*keys, "n", F.array(*quantiles).alias("quantiles"))
 
 
-def exact_median(df: DataFrame, keys: list[str], value: str, name: str, weight: str | None = None) -> DataFrame:
-    found = exact_quantiles(df, keys, value, [0.5], weight)
+def exact_median(df: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
+    found = exact_quantiles(df, keys, value, [0.5])
     return found.select(*keys, F.col("quantiles")[0].alias(name))
 
 
@@ -93,7 +157,7 @@ def order_cuts(df: DataFrame, order: str, tiebreak: str, ks: list, descending: b
     are those beyond ``value`` plus those at ``value`` whose tiebreak is at most ``tie``.
 
     Rows without an order value are last, in either direction. ``ks`` are functions from the number of rows
-    (a column) to k (a column). ``tie`` is None when all rows at ``value`` belong to the first k. Only
+    (a column) to k (a column); a k beyond the number of rows takes all of them. ``tie`` is None when all rows at ``value`` belong to the first k. Only
     these few values leave the cluster; rows tied at a cut are ranked among themselves by ``tiebreak``, so
     one value may hold any share of the rows.
     """
@@ -101,10 +165,8 @@ def order_cuts(df: DataFrame, order: str, tiebreak: str, ks: list, descending: b
     placed = df.select(F.struct((has if descending else ~has).alias("end"), F.col(order).alias("value")).alias("_o"))
     ranked = running_totals(placed, [], "_o", {"n": F.lit(1)})
     first = F.col("n_all") - F.col("n_before") - F.col("n") if descending else F.col("n_before")
-    hits = [
-        F.when((first < k(F.col("n_all"))) & (k(F.col("n_all")) <= first + F.col("n")), F.struct(F.lit(i).alias("i"), k(F.col("n_all")).cast("bigint").alias("k")))
-        for i, k in enumerate(ks)
-    ]
+    asked = [F.least(k(F.col("n_all")), F.col("n_all")).cast("bigint") for k in ks]  # beyond the end: all rows
+    hits = [F.when((first < k) & (k <= first + F.col("n")), F.struct(F.lit(i).alias("i"), k.alias("k"))) for i, k in enumerate(asked)]
     found = [
         {"value": NO_VALUE if r["missing"] else r["value"], "first": r["first"], "n": r["n"], "i": r["i"], "k": r["k"]}
         for r in ranked.select(

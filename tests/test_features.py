@@ -2,11 +2,13 @@ import datetime as dt
 import random
 import statistics
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tallyforge import schemas as S
-from tallyforge.operators import features
+from tallyforge.operators import busy_windows, features, ordering, windows
+from tallyforge.operators.busy_windows import WaveletMatrix
 from tallyforge.operators.ordering import category_codes, exact_quantiles, running_totals, split_at
 from tallyforge.operators.windows import prior_window
 
@@ -159,3 +161,76 @@ def test_features_are_finite_and_split_is_chronological(spark, tables):
     assert early.count() + late.count() == f.count() and early.count() == int(f.count() * 0.75)
     med = {r["k"]: r["m"] for r in f.groupBy((F.col("anomaly_type") == "arithmetic_mismatch").alias("k")).agg(F.median("arithmetic_residual_rel").alias("m")).collect()}
     assert med[True] > (med.get(None) or 0)
+
+
+@pytest.mark.parametrize("descending", [False, True])
+def test_split_at_nothing_all_and_beyond_the_end(spark, descending):
+    df = spark.createDataFrame([("a", 1), ("b", 1), ("c", 2), ("d", None)], "id string, ts int")
+    for k, want in ((0, 0), (3, 3), (4, 4), (5, 4), (10, 4), (-1, 0)):
+        first, rest = split_at(df, "ts", "id", k, descending=descending)
+        assert (first.count(), rest.count()) == (want, 4 - want)
+    first, rest = split_at(df.limit(0), "ts", "id", 2, descending=descending)
+    assert first.count() == rest.count() == 0
+
+
+def test_bracketed_quantiles_against_numpy(spark):
+    """Keys above and below the limit, ties, infinities, null keys; only values near a quantile are ranked."""
+    rng = np.random.default_rng(5)
+    points = [0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0]
+    held = {
+        "normal": rng.standard_normal(60_000),
+        "ties": rng.integers(0, 4, 50_000).astype(float),
+        None: np.concatenate([rng.exponential(1, 30_000), [np.inf, -np.inf]]),
+        "mostly one": np.concatenate([np.full(49_000, 2.5), rng.standard_normal(3_000)]),
+        "small": rng.standard_normal(999),
+        "one": np.array([7.0]),
+    }
+    import pandas as pd
+
+    pdf = pd.concat([pd.DataFrame({"k": [k] * len(v), "v": v}) for k, v in held.items()])
+    df = spark.createDataFrame(pdf, "k string, v double").repartition(5).unionByName(spark.createDataFrame([("small", None)], "k string, v double"))
+    got = {r["k"]: (r["n"], r["quantiles"]) for r in exact_quantiles(df, ["k"], "v", points).collect()}
+    assert set(got) == set(held)
+    for k, v in held.items():
+        inner = points if k is not None else points[1:-1]
+        assert got[k][0] == len(v)
+        assert [q for p, q in zip(points, got[k][1]) if p in inner] == pytest.approx(list(np.quantile(v, inner)), rel=1e-12, abs=1e-12), k
+    assert exact_quantiles(df.where("k = 'normal'"), [], "v", [0.5]).first()["quantiles"] == pytest.approx([np.median(held["normal"])])
+    kept = ordering._bracketed(df.where("k = 'normal'").withColumnRenamed("v", "_v"), ["k"], points).select("k", "_o").distinct().count()
+    assert kept < 0.05 * 60_000
+    assert exact_quantiles(df.limit(0), ["k"], "v", points).count() == 0
+
+
+def test_wavelet_matrix_against_lists():
+    rng = np.random.default_rng(8)
+    for n in (1, 2, 7, 64, 300):
+        ranks = rng.permutation(n)
+        matrix = WaveletMatrix(ranks)
+        l = rng.integers(0, n + 1, 200)
+        r = np.maximum(l, rng.integers(0, n + 1, 200))
+        bound = rng.integers(0, n + 3, 200)
+        assert matrix.below(l, r, bound).tolist() == [int((ranks[a:b] < c).sum()) for a, b, c in zip(l, r, bound)]
+        some = np.flatnonzero(r > l)
+        k = rng.integers(0, (r - l)[some])
+        assert matrix.select(l[some], r[some], k).tolist() == [int(np.sort(ranks[a:b])[c]) for a, b, c in zip(l[some], r[some], k)]
+    assert WaveletMatrix(np.empty(0, int)).below(np.zeros(2, int), np.zeros(2, int), np.arange(2)).tolist() == [0, 0]
+
+
+@pytest.mark.parametrize("side", [3, 16, 4096])
+def test_busy_periods_in_slices_of_any_size(spark, side, monkeypatch):
+    """One user with most rows, bursts and lulls, missing and repeated values, against lists."""
+    rng = random.Random(side)
+    hour, rows, now = 3_600_000_000, [], 0
+    for i in range(260):
+        now += rng.choice([0, 0, hour // 7, hour, 30 * hour if i % 60 == 59 else hour // 3])
+        rows.append((i, rng.choice(["hot", "hot", "hot", "other"]), now, rng.choice([None, 5.0, 5.005, 5.01, rng.uniform(0, 20), round(rng.uniform(0, 20), 1)])))
+    df = spark.createDataFrame(rows, "rid long, u string, ts long, v double").repartition(4)
+    monkeypatch.setattr(busy_windows, "SIDE", side)
+    monkeypatch.setattr(windows, "busy_prior_window", lambda *a: busy_windows.busy_prior_window(*a, side=side))
+    got = {r["rid"]: (r["n_prior"], r["median_prior"], r["n_same"]) for r in prior_window(df, "u", "ts", "v", "rid", busy_rows=1).collect()}
+    for i, u, ts, v in rows:
+        prior = [w for j, o, t, w in rows if o == u and (t, j) < (ts, i) and ts - t <= 24 * hour]
+        valued = [w for w in prior if w is not None]
+        same = 0 if v is None else sum(abs(w - v) <= 0.01 + 1e-5 * abs(v) for w in valued)
+        n, median, close = got[i]
+        assert (n, close) == (len(prior), same) and (median is None if not valued else median == pytest.approx(statistics.median(valued), rel=1e-12)), i
