@@ -54,6 +54,8 @@ SMALL, ACCURACY = 20_000, 10_000
 #: A sketch's answer is at most 2 / ACCURACY of the rows off its rank; brackets reach twice as far to either side,
 #: which for more than SMALL values also covers the few ranks by which definitions of a quantile differ.
 MARGIN = 4 / ACCURACY
+#: A key that the brackets leave at most so many entries of is sorted in one task; beyond, in range partitions.
+ONE_SORT = 500_000
 
 
 def _same_keys(keys: list[str], left: DataFrame, right: DataFrame) -> Column:
@@ -84,23 +86,29 @@ def _bracketed(rows: DataFrame, keys: list[str], points: list[float]) -> DataFra
     sketch = rows.groupBy(*keys).agg(
         F.percentile_approx("_v", [p for pair in asked for p in pair], ACCURACY).alias("_p"), F.min("_v").alias("_least"), F.max("_v").alias("_most")
     )
-    ends = [
-        F.struct(
-            (F.col("_least") if lo == 0.0 else F.col("_p")[2 * i]).alias("lo"), (F.col("_most") if hi == 1.0 else F.col("_p")[2 * i + 1]).alias("hi")
-        )
-        for i, (lo, hi) in enumerate(asked)
-    ]
-    brackets = settle(_named_apart(sketch.select(*keys, F.array(*ends).alias("_b")), keys))
+    ends = {}
+    for i, (lo, hi) in enumerate(asked):
+        ends[f"_lo{i}"] = F.col("_least") if lo == 0.0 else F.col("_p")[2 * i]
+        ends[f"_hi{i}"] = F.col("_most") if hi == 1.0 else F.col("_p")[2 * i + 1]
+    brackets = settle(_named_apart(sketch.select(*keys, *[c.alias(n) for n, c in ends.items()]), keys))
     v = F.col("_v")
     met = rows.join(brackets, _same_keys(keys, rows, brackets))
-    inside = F.exists("_b", lambda b: (b["lo"] <= v) & (v <= b["hi"]))
-    below = F.array_max(F.transform(F.filter("_b", lambda b: b["hi"] < v), lambda b: b["hi"]))
-    return met.select(*keys, F.struct(F.when(inside, v).otherwise(below).alias("at"), (~inside).alias("gap")).alias("_o"))
+    inside, lower = F.lit(False), F.lit(None)
+    for i in range(len(points)):
+        inside = inside | ((F.col(f"_lo{i}") <= v) & (v <= F.col(f"_hi{i}")))
+        lower = F.greatest(lower, F.when(F.col(f"_hi{i}") < v, F.col(f"_hi{i}")))
+    return met.select(*keys, F.struct(F.when(inside, v).otherwise(lower).alias("at"), (~inside).alias("gap")).alias("_o"))
 
 
 def _large_quantiles(rows: DataFrame, keys: list[str], points: list[float]) -> DataFrame:
     """Keys with more values: running counts over what the brackets leave, a few thousandths of the values and the gaps."""
-    ranked = running_totals(_bracketed(rows, keys, points), keys, "_o", {"n": F.lit(1)})
+    left = settle(_bracketed(rows, keys, points).groupBy(*keys, "_o").agg(F.count("*").alias("n")))
+    if left.groupBy(*keys).count().where(F.col("count") > ONE_SORT).isEmpty():
+        by_key = Window.partitionBy(*keys)
+        earlier = by_key.orderBy("_o").rowsBetween(Window.unboundedPreceding, -1)
+        ranked = left.select("*", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("n_before"), F.sum("n").over(by_key).alias("n_all"))
+    else:
+        ranked = running_totals(left, keys, "_o", {"n": F.col("n")})
     upto = F.col("n_before") + F.col("n")
     aggs = [F.max("n_all").alias("n")]
     for i, q in enumerate(points):

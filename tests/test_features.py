@@ -173,8 +173,10 @@ def test_split_at_nothing_all_and_beyond_the_end(spark, descending):
     assert first.count() == rest.count() == 0
 
 
-def test_bracketed_quantiles_against_numpy(spark):
+@pytest.mark.parametrize("one_sort", [ordering.ONE_SORT, 10])
+def test_bracketed_quantiles_against_numpy(spark, monkeypatch, one_sort):
     """Keys above and below the limit, ties, infinities, null keys; only values near a quantile are ranked."""
+    monkeypatch.setattr(ordering, "ONE_SORT", one_sort)
     rng = np.random.default_rng(5)
     points = [0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0]
     held = {
