@@ -10,12 +10,12 @@ wins (ties: the first in the alphabet).
 
 Counts come from a bounded sample of labelled rows (``rows_per_language``, by a hash of the id), whole
 texts, counted by Spark; one part of the sample is kept aside to calibrate. Per language and length class
-it gives the cross-entropy that a text of that language stays below: a text above it is ``rejected``,
-although the best language is still named. The score is the winner's share under a softmax of the
+it gives a cross-entropy between that of the language's own texts and that of foreign texts under its model: a
+text above it is ``rejected``, although the best language is still named. The score is the winner's share under a softmax of the
 cross-entropies whose sharpness is chosen on the same part.
 
 Characters: letters are lower-cased, runs of anything else are one blank; code points above 4095 share
-cells (modulo 4096), which merges rare characters only.
+cells (modulo 4096), so letters of large scripts (Chinese, Japanese, Korean) share cells with each other.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0, and rejected; empty and
 very long texts are scored whole; without any training row every text is ``und``. Rows are predicted one
@@ -39,8 +39,10 @@ BITS = 12
 UNDETERMINED = "und"
 #: Upper ends of the length classes (characters) of the calibration.
 LENGTHS = [8, 32, 128, 512, 2048]
-#: How far above the calibrated cross-entropy (nats per character) a text may lie.
-SLACK = 0.9
+#: How far above the calibrated cross-entropy (nats per character) a text under LONG characters may lie.
+LONG, SLACK = 128, 0.9
+#: Where a longer text's limit lies between own texts (0) and foreign ones (1).
+SHARE = 0.45
 
 _LETTER: np.ndarray | None = None
 
@@ -189,39 +191,51 @@ class Models:
     def calibrate(self, rows: list[tuple[str, int, list[float]]]) -> None:
         """From (language, characters, cross-entropies) of labelled texts that were not trained on.
 
-        A class takes its largest cross-entropy but for one text in a thousand, and slack; a class with
-        under 20 texts takes the next longer class's limit and more slack (so does one at the long end
-        of what it has). A language without a class of 20 takes
-        one limit from all its texts; with under 20 texts, from those of all languages too, and more slack.
-        Only without a single text at all no limit is known and nothing is rejected.
+        Own texts show how high a language's texts go; the same texts under the other languages' models show
+        where texts of a language that is not learned begin. From ``LONG`` characters on the limit of a class
+        lies ``SHARE`` of the way from the first (99 of 100 own texts are below) to the second (95 of
+        100 foreign ones are above, in the language nearest to the others). Shorter texts say less: there the
+        largest own cross-entropy but for one in a thousand, and ``SLACK``. A class with under 20 own texts
+        takes the next longer class's limit, and slack if it is short; a language without a class of 20 one
+        limit from all its texts and, under 20, those of all languages. With one language nothing foreign is
+        known and slack stands in; only without a single text is nothing rejected.
         """
         index = {lang: i for i, lang in enumerate(self.languages)}
         found: dict[tuple[int, int], list[float]] = {}
+        strange: dict[tuple[int, int], list[float]] = {}
         for lang, n, entropy in rows:
             if n and lang in index:
-                found.setdefault((int(np.searchsorted(LENGTHS, n)), index[lang]), []).append(entropy[index[lang]])
+                at = int(np.searchsorted(LENGTHS, n)), index[lang]
+                found.setdefault(at, []).append(entropy[index[lang]])
+                if len(self.languages) > 1:
+                    strange.setdefault(at, []).append(float(np.delete(entropy, index[lang]).min()))
+        first_long = int(np.searchsorted(LENGTHS, LONG, "right"))
+        far = [np.quantile(e, 0.05) for (k, _), e in strange.items() if k >= first_long and len(e) >= 20]
+        begins = float(min(far)) if far else float(np.quantile(sum(strange.values(), []), 0.05)) if strange else None
+
+        def limit(own: list[float], k: int) -> float:
+            if k < first_long:
+                return float(np.quantile(own, 0.999)) + SLACK
+            high = float(np.quantile(own, 0.99))
+            return high + (SLACK if begins is None else SHARE * max(0.0, begins - high))
+
         for lang in range(len(self.languages)):
             last = None
             for k in range(len(LENGTHS), -1, -1):
                 own = found.get((k, lang), [])
                 if len(own) >= 20:
-                    last = float(np.quantile(own, 0.999)) + SLACK
-                elif last is not None:
+                    last = limit(own, k)
+                elif last is not None and k < first_long:
                     last += SLACK
                 if last is not None:
                     self.limits[k, lang] = last
         pool = [e for own in found.values() for e in own]
         for lang in range(len(self.languages)):
             if np.isinf(self.limits[:, lang]).all() and pool:
-                classes = [k for k in range(len(LENGTHS) + 1) if (k, lang) in found]
-                own = [e for k in classes for e in found[k, lang]]
-                if len(own) >= 20:
-                    limit = float(np.quantile(own, 0.999)) + SLACK
-                else:
-                    limit = max([float(np.quantile(pool, 0.999)), *own]) + 2 * SLACK
-                shortest = min(classes or [k for k, _ in found])
+                own = [e for (_, i), es in found.items() if i == lang for e in es]
+                shared = own if len(own) >= 20 else [*pool, *own]
                 for k in range(len(LENGTHS) + 1):
-                    self.limits[k, lang] = limit + SLACK * max(0, shortest - k)
+                    self.limits[k, lang] = max([limit(shared, first_long), *own]) + SLACK * max(0, first_long - k)
         for k in range(1, len(LENGTHS) + 1):
             self.limits[k] = np.where(np.isinf(self.limits[k]), self.limits[k - 1], self.limits[k])
         judged = [(index[lang], np.array(e)) for lang, n, e in rows if n and lang in index]

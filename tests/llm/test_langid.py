@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tallyforge.llm import langid
 from tallyforge.llm.queries import QUERIES
@@ -106,3 +107,18 @@ def test_held_out_accuracy_on_the_whole_table(spark):
     held = [r for r in got if r.held_out]
     assert sum(r.lang_pred == langs[r.doc_id][0] for r in held) / len(held) > 0.99
     assert sum(r.rejected for r in got) / len(got) < 0.01
+
+
+def test_texts_of_a_left_out_language_go(spark):
+    """Models of three of the four languages: the fourth is rejected from 128 letters on, own texts stay."""
+    by_lang = {}
+    for r in spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("text is not null and lang is not null").orderBy(F.md5("text")).select("lang", F.substring("text", 1, 4000).alias("text")).collect():
+        by_lang.setdefault(r.lang, []).append(r.text)
+    for left in by_lang:
+        known = {lang: texts for lang, texts in by_lang.items() if lang != left}
+        models = models_of(**{lang: " ".join(texts[:300]) for lang, texts in known.items()})
+        models.calibrate([(lang, *models.entropies(t)) for lang, texts in known.items() for t in texts[300:375]])
+        long = [t for t in by_lang[left] if len(langid.cells(t)) > 130][:300]
+        assert sum(models.predict(t)[2] for t in long) >= 0.9 * len(long), left
+        own = [models.predict(t)[2] for texts in known.values() for t in texts[375:875] if len(langid.cells(t))]
+        assert sum(own) < 0.005 * len(own), left

@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 from collections import defaultdict
 
@@ -40,6 +41,18 @@ def test_quality_and_language_keep_clean_documents(spark, steps):
     assert 0 <= before - after <= 0.01 * before
 
 
+def test_language_stage_drops_planted_foreign_documents(spark):
+    """Documents in languages that the corpus does not name go, the corpus's own stay."""
+    docs = spark.read.parquet(f"{AT}/documents.parquet")
+    syllables = {"x": "kwa mba nde zu tso ngi rhu qala vho xi".split(), "y": "ölü yüz çığ şim güz dağ kır ğan bül ıra".split()}
+    rng = random.Random(9)
+    rows = [(-1 - i, " ".join("".join(rng.choice(syllables[k]) for _ in range(rng.randint(1, 4))) for _ in range(120)) + ".", None, "web", 0) for i, k in enumerate("xy" * 20)]
+    planted = docs.unionByName(spark.createDataFrame(rows, docs.schema))
+    kept = {r.doc_id for r in pipeline.keep_language(spark, planted, AT).select("doc_id").collect()}
+    own = {r.doc_id for r in docs.where("text is not null").select("doc_id").collect()}
+    assert not any(i < 0 for i in kept) and len(own - kept) <= 0.01 * len(own)
+
+
 def test_near_copies_against_brute_force(steps):
     before, after = steps[2]
     rows = [(r.doc_id, r.text) for r in before.collect()]
