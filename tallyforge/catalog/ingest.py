@@ -13,7 +13,7 @@ from tallyforge.operators import defects, receipt_text, silver
 from tallyforge.plans import store_health
 from tallyforge.session import scratch_path
 from tallyforge.sources import files, normalise, sinks
-from tallyforge.streaming import landing
+from tallyforge.streaming import event_windows, landing
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -289,6 +289,25 @@ def _(t):
     return dead.agg(F.count(F.lit(1)).alias("n_dead"))
 
 
+@register(
+    "stream_window_counts",
+    """select event_type as key, date_trunc('day', ts)::timestamp as window_start, count(*) as n,
+              cast(sum(cast(round(coalesce(value, 0) * 10000) as bigint)) as bigint) / 10000e0 as total
+       from events group by 1, 2""",
+)
+def _(t):
+    """Days of event time per event type, counted on a stream of files."""
+    root = scratch_path(t.spark, "stream")
+    as_time = F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("ts")
+    lines = t.events.repartitionByRange(4, "ts").select(F.to_json(F.struct("event_id", as_time, "event_type", "value")).alias("value"))
+    lines.write.text(f"{root}/in")
+    rows = landing.good(landing.decode(landing.file_source(t.spark, f"{root}/in"), EVENT, "event_id"))
+    # All files make one batch, so the watermark is still at its start: the stream must agree with the batch to the row.
+    found = event_windows.windowed(rows, F.col("event_type"), F.col("ts"), F.col("event_id"), F.col("value"))
+    event_windows.drain_windows(found, f"{root}/out", f"{root}/ckpt")
+    return event_windows.window_figures(t.spark, f"{root}/out").withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
 # ---------------------------------------------------------------- text ---
 def money_text(cents):
     return F.concat(F.floor(cents / 100).cast("string"), F.lit("."), F.lpad((cents % 100).cast("string"), 2, "0"))
