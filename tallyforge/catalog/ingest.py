@@ -541,7 +541,63 @@ def _(t):
     return defects.inject_defects(bridge.receipts(t)).select("receipt_id", "anomaly_type")
 
 
-@register("defect_injection")
+def half_up(x: str) -> str:
+    """Two places of a double as written, halves away from zero."""
+    return f"cast(round(cast(cast({x} as varchar) as decimal(38, 18)), 2) as double)"
+
+
+#: Each receipt with its draws and defect, then its lines as the defect leaves them, then its head.
+DEFECTS = {
+    "d_drawn": f"""select *, {', '.join(f"{draw_sql('d', i)} as u{i}" for i in range(8))} from b_receipts""",
+    "d_kinds": f"""select d.*, coalesce(c.n_items, 0) as n_items,
+            case when u0 < 0.015e0 then (['unknown_store', 'non_positive_total', 'empty_items', 'bad_currency'])[cast(floor(u2 * 4) as integer) + 1] end as brk,
+            case when u0 >= 0.015e0 and u1 < 0.06e0 and c.n_items > 0 then {defects.KINDS!r}[cast(floor(u2 * 5) as integer) + 1] end as kind
+        from d_drawn d left join (select receipt_id, count(*) as n_items from b_items group by 1) c on c.receipt_id = d.receipt_id""",
+    "d_lines": f"""select i.receipt_id, i.line_no, k.kind,
+            case when kind = 'impossible_quantity' and line_no - 1 = floor(u3 * n_items) then cast(floor(u4 * 360) as integer) + 40 else qty end as qty,
+            case when kind = 'price_outlier' and line_no - 1 = floor(u3 * n_items)
+                then {half_up('unit_price * ([10e0, 100e0, 0.1e0])[cast(floor(u4 * 3) as integer) + 1]')} else unit_price end as unit_price
+        from b_items i join d_kinds k on k.receipt_id = i.receipt_id
+        where brk is distinct from 'empty_items' and not (coalesce(kind = 'ocr_dropout', false) and u7 < 0.3e0 and line_no > greatest(1, floor(n_items / 2)))""",
+    "d_folded": """select receipt_id, count(*) as n_lines, sum(qty) as sum_qty,
+            list_reduce(list_prepend(0e0, list(cast(qty as double) * unit_price order by line_no)), lambda a, x: a + x) as amount
+        from d_lines group by receipt_id""",
+    "d_subtotals": f"""select k.*, coalesce(f.n_lines, 0) as n_lines, coalesce(f.sum_qty, 0) as sum_qty, coalesce(f.amount, 0e0) as amount,
+            case when kind in ('impossible_quantity', 'price_outlier') then {half_up('coalesce(f.amount, 0e0)')} end as sub
+        from d_kinds k left join d_folded f on f.receipt_id = k.receipt_id""",
+    "d_taxed": f"""select *, case when sub is not null then {half_up('sub * 0.0825e0')} end as new_tax,
+            case when u3 < 0.5e0 then -1e0 else 1e0 end * (u4 * 0.30e0 + 0.05e0) as drift from d_subtotals""",
+    "d_broken": f"""select receipt_id, case when u0 < 0.015e0 then 'malformed_payload' else kind end as anomaly_type,
+            case when kind = 'ocr_dropout' and u5 < 0.6e0 then null else coalesce(sub, subtotal) end as subtotal,
+            case when kind = 'ocr_dropout' and u6 < 0.5e0 then null when sub is not null then new_tax else tax end as tax,
+            case when kind = 'arithmetic_mismatch' then {half_up('greatest(0.01e0, total * (drift + 1e0))')} when sub is not null then {half_up('sub + new_tax')}
+                when brk = 'non_positive_total' then case when u3 < 0.5e0 then -abs(total) else 0e0 end else total end as total,
+            case when kind = 'ocr_dropout' then {half_up('u4 * 0.37e0 + 0.05e0')} else image_quality end as image_quality,
+            case when kind is distinct from 'timestamp_skew' then submitted_at
+                when u4 < 0.5e0 then submitted_at + to_seconds(cast(floor((u5 * 198 + 2) * 86400e0) as bigint))
+                else submitted_at - to_seconds(cast(floor((u5 * 800 + 400) * 86400e0) as bigint)) end as submitted_at,
+            case when brk = 'unknown_store' then 'ZZ' || (cast(floor(u3 * 99) as bigint) + 900)::varchar else store_id end as store_id,
+            case when brk = 'bad_currency' then (['EU R', '', 'usd'])[cast(floor(u3 * 3) as integer) + 1] else currency end as currency,
+            cast(n_lines as bigint) as n_lines, cast(sum_qty as bigint) as sum_qty, amount from d_taxed""",
+}
+
+
+@register("defect_values", "select * from d_broken", DEFECTS)
+def _(t):
+    """Every receipt after injection, each corrupted value beside those that must not change."""
+    broken = defects.inject_defects(bridge.receipts(t))
+    return broken.select(
+        "receipt_id", "anomaly_type", "subtotal", "tax", "total", "image_quality", F.col("submitted_at").cast("timestamp_ntz").alias("submitted_at"), "store_id", "currency",
+        F.size("items").cast("bigint").alias("n_lines"), F.aggregate("items", F.lit(0).cast("bigint"), lambda a, i: a + i["qty"]).alias("sum_qty"), items_subtotal(F.col("items")).alias("amount"),
+    )
+
+
+@register(
+    "defect_injection",
+    """select anomaly_type, count(*) as n, count(*) filter (abs(amount * 1.0825e0 - total) > 0.5e0) as n_off, count(*) filter (tax is null) as n_tax_null
+       from d_broken group by anomaly_type""",
+    DEFECTS,
+)
 def _(t):
     broken = defects.inject_defects(bridge.receipts(t))
     return broken.groupBy("anomaly_type").agg(
