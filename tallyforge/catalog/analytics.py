@@ -8,7 +8,7 @@ from tallyforge import bridge, schemas as S
 from tallyforge.bridge import AS_OF, Tables
 from tallyforge.catalog.sql import rate, with_tables
 from tallyforge.functions.receipts import image_quality_band, micros
-from tallyforge.operators import attribution, contract, drift, features, metrics, model
+from tallyforge.operators import attribution, checks, contract, drift, features, metrics, model
 from tallyforge.operators.ordering import category_codes, exact_quantiles
 from tallyforge.operators.windows import prior_window
 from tallyforge.plans import scoring
@@ -341,6 +341,62 @@ def _(t):
     return marts.model_slices(receipt_slices(t))
 
 
+REGION_NAMES = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]  # the five rows of region
+_TWINS = {"br_quarantine": "b_quarantine", "br_store_master": "b_feed", "mart_model_slices": "c_slices"}
+
+
+def check_sql() -> str:
+    """Every check of the warehouse, one select each."""
+    of = lambda table: _TWINS.get(table, table)
+    parts = {}
+    for table, column, kind in checks.column_tests(regions=REGION_NAMES):
+        name = checks._name(table, column, kind)
+        if kind == "not_null":
+            parts[name] = f"select count(*) from {of(table)} where {column} is null"
+        elif kind == "unique":
+            parts[name] = f"select count(*) from (select {column} from {of(table)} where {column} is not null group by 1 having count(*) > 1)"
+        elif isinstance(kind, list):
+            parts[name] = f"select count(*) from {of(table)} where {column} not in ({', '.join(repr(v) for v in kind)})"
+        else:
+            parts[name] = f"select count(distinct {column}) from {of(table)} where {column} is not null and {column} not in (select {kind[1]} from {of(kind[0])})"
+    parts |= {
+        "flagged_have_reasoning": "select count(*) from mart_review_queue where coalesce(model_reasoning, '') = ''",
+        "fan_out": "select cast((select count(*) from fct_receipt) <> (select count(*) from sl_receipts) as integer)",
+        "implausible_flag_rate": "select cast(avg(is_flagged) not between 0.005e0 and 0.30e0 as integer) from fct_receipt",
+        "non_positive_totals": "select count(*) from fct_receipt where reported_total <= 0",
+        "scores_out_of_range": "select count(*) from fct_receipt where anomaly_score not between 0 and 1",
+        "outside_version": "select count(*) from fct_receipt f join dim_store d on d.store_key = f.store_key where f.submitted_at < d.valid_from or f.submitted_at >= d.valid_to",
+        "quarantined_in_facts": "select count(*) from b_quarantine where receipt_id in (select receipt_id from fct_receipt)",
+        "not_one_current": "select count(*) from (select store_natural_key from dim_store group by 1 having count(*) filter (is_current) <> 1)",
+        "version_gaps": "select count(*) from dim_store o join dim_store n on n.store_natural_key = o.store_natural_key and n.version_number = o.version_number + 1 where n.valid_from <> o.valid_to",
+        "version_overlaps": "select count(*) from dim_store p join dim_store q on p.store_natural_key = q.store_natural_key and p.version_number <> q.version_number and greatest(p.valid_from, q.valid_from) < least(p.valid_to, q.valid_to)",
+        "two_path_agreement": """select count(*) from (select submitted_date, store_id, count(*) filter (fails_reconciliation) as n from fct_receipt group by all) w
+            full join c_job j using (submitted_date, store_id) where w.n is distinct from j.n""",
+    }
+    return " union all ".join(f"select '{name}' as check_name, ({sql}) :: bigint as n_violations" for name, sql in parts.items())
+
+
+@register(
+    "warehouse_check_counts",
+    check_sql(),
+    {
+        "c_slices": RECEIPT_SLICES,
+        "c_job": """select submitted_at::date as submitted_date, store_id,
+            count(*) filter (abs(total - 1.0825e0 * computed_subtotal) > 0.02e0 * greatest(1.0825e0 * computed_subtotal, 0.01e0)) as n
+            from b_clean left join rollup using (receipt_id) group by all""",
+    },
+)
+def _(t):
+    """All checks of the warehouse with their number of violations, one scan a table."""
+    from tallyforge.catalog.warehouse import raw_sets
+    from tallyforge.plans import warehouse
+    from tallyforge.plans.store_health import daily_store_health
+
+    made = warehouse.build({**raw_sets(t), "slice_metrics": receipt_slices(t)}, keep=lambda _, df: settle(df))
+    made["br_spark_store_health"] = daily_store_health(made["br_receipts"], made["br_receipt_items"])
+    return checks.warehouse_counts(made, regions=REGION_NAMES)
+
+
 COLLAPSED = slice_sql(
     [("scanner_version", "scanner_version"), ("payment_method", "payment_method")],
     RECEIPT_SOURCE.replace("s.is_flagged as flag", "if(c.payment_method = 'cash', 0, s.is_flagged) as flag"),

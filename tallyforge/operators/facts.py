@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.functions import receipts as R
 from tallyforge.functions.exact import exact_sum
+from tallyforge.operators.ordering import carried
 
 
 def line_rollup(items: DataFrame) -> DataFrame:
@@ -39,6 +40,28 @@ def point_in_time_join(rows: DataFrame, versions: DataFrame) -> DataFrame:
     ).drop("store_natural_key", "valid_from", "valid_to")
 
 
+def point_in_time_merge(rows: DataFrame, versions: DataFrame) -> DataFrame:
+    """The same join for a dimension too large to broadcast, by merging both sides in the order of time.
+
+    Rows and versions go together into range slices of (store, time); each row takes the last version that opened
+    before or at its stamp, carried over from earlier slices where its own has none, if it is still open. So neither
+    a store's rows nor its versions meet in one task, and no row is compared with versions of other times. Versions
+    of one store must not overlap (``checks.version_overlaps``); of overlapping ones the last opened wins.
+    """
+    packed = F.struct(*[F.col(c) for c in rows.columns])
+    opened = versions.select(
+        F.col("store_natural_key").alias("_store"), F.col("valid_from").alias("_at"), F.lit(0).alias("_kind"), F.col("store_key").alias("_tie"),
+        F.struct("store_key", "valid_to").alias("_version"), F.lit(None).cast(rows.select(packed.alias("r")).schema["r"].dataType).alias("_row"),
+    ).where("_store is not null and _at is not null")
+    asked = rows.select(
+        F.col("store_id").alias("_store"), F.col("submitted_at").alias("_at"), F.lit(1).alias("_kind"), F.sha2(F.to_json(packed), 256).alias("_tie"),
+        F.lit(None).cast(opened.schema["_version"].dataType).alias("_version"), packed.alias("_row"),
+    )
+    merged = carried(opened.unionByName(asked), ["_store"], ["_at", "_kind", "_tie"], "_version", "_found", "last").where("_kind = 1")
+    open_ = F.col("_store").isNotNull() & (F.col("_at") < F.col("_found.valid_to"))
+    return merged.select(*[F.col("_row")[c].alias(c) for c in rows.columns], F.when(open_, F.col("_found.store_key")).alias("store_key"))
+
+
 def fct_receipt(
     receipts: DataFrame,
     items: DataFrame,
@@ -46,8 +69,9 @@ def fct_receipt(
     explanations: DataFrame,
     dim_date: DataFrame,
     dim_store: DataFrame,
+    large_dimension: bool = False,
 ) -> DataFrame:
-    """Receipt fact. The three receipt-keyed joins share one hash layout on the id."""
+    """Receipt fact; ``large_dimension`` merges store versions in the order of time. The three receipt-keyed joins share one hash layout on the id."""
     rollup = line_rollup(items)
     joined = (
         receipts.join(rollup, "receipt_id", "left")
@@ -59,7 +83,7 @@ def fct_receipt(
     # one row per day between the first and last receipt; a single stamp in a far year makes that millions
     days = dim_date.select("date_key", "calendar_date")
     joined = joined.join(days, F.col("submitted_date") == F.col("calendar_date"), "left")
-    joined = point_in_time_join(joined, dim_store)
+    joined = (point_in_time_merge if large_dimension else point_in_time_join)(joined, dim_store)
     expected = R.computed_total(F.col("computed_subtotal"))
     reported = F.col("reported_total")
     return joined.select(

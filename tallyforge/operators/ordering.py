@@ -49,6 +49,29 @@ def running_totals(df: DataFrame, keys: list[str], order: str, measures: dict[st
     )
 
 
+def carried(df: DataFrame, keys: list[str], order: list[str], value: str, name: str, how: str) -> DataFrame:
+    """``df`` with ``name``: over the rows of the key before this one by ``order``, the last non-null ``value``
+    (``how="last"``) or the largest (``how="max"``).
+
+    Rows are range-partitioned on (keys, order), each slice looks back within itself, and one row per key and
+    slice carries what earlier slices end with, so a key's rows never meet in one task. ``order`` must be unique
+    within a key for "last".
+    """
+    fold = (lambda c: F.last(c, ignorenulls=True)) if how == "last" else F.max
+    spread = settle(df.repartitionByRange(*keys, *order).withColumn(_SLICE, F.spark_partition_id()))
+    end = F.max_by(value, F.struct(*order)).alias("_end") if how == "last" else F.max(value).alias("_end")
+    some = spread.where(F.col(value).isNotNull()).groupBy(*keys, _SLICE).agg(end)
+    # slices without a value still need what came before them
+    ends = spread.select(*keys, _SLICE).distinct().join(some.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col(_SLICE).alias("_k_slice"), "_end"), [*[F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys], F.col(_SLICE) == F.col("_k_slice")], "left")
+    earlier = Window.partitionBy(*keys).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    starts = ends.select(*[F.col(k).alias(f"_s_{k}") for k in keys], F.col(_SLICE).alias("_s_slice"), fold("_end").over(earlier).alias("_start"))
+    inside = Window.partitionBy(_SLICE, *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    local = spread.withColumn("_local", fold(value).over(inside))
+    met = local.join(starts, [*[F.col(k).eqNullSafe(F.col(f"_s_{k}")) for k in keys], F.col(_SLICE) == F.col("_s_slice")])
+    found = F.coalesce("_local", "_start") if how == "last" else F.greatest("_local", "_start")
+    return met.select(*df.columns, found.alias(name))
+
+
 #: Keys with at most so many values are sorted one by one; the rest is bracketed by a sketch of this accuracy.
 SMALL, ACCURACY = 20_000, 10_000
 #: A sketch's answer is at most 2 / ACCURACY of the rows off its rank; brackets reach twice as far to either side,

@@ -82,6 +82,19 @@ def test_whole_warehouse_passes_its_checks(spark, tables):
     assert len(found) == 59
     counts = {r["check_name"]: r["n_violations"] for r in checks.check_counts(found).collect()}
     assert {k: v for k, v in counts.items() if v} == {}
+    # planted faults: both forms find the same
+    facts, queue = t["fct_receipt"].cache(), t["mart_review_queue"].cache()
+    one = facts.where("store_key is not null").limit(1).cache()
+    t["fct_receipt"] = facts.unionByName(one).unionByName(one.withColumns({"receipt_id": F.lit("Rx"), "anomaly_score": F.lit(1.5), "store_key": F.lit("gone"), "reported_total": F.lit(-1.0)})).unionByName(
+        one.withColumns({"receipt_id": F.lit(None).cast("string"), "computed_total": F.lit(None).cast("double")})
+    )
+    t["mart_review_queue"] = queue.unionByName(queue.limit(1).withColumns({"receipt_id": F.lit("Ry"), "model_reasoning": F.lit(""), "rule_based_hint": F.lit("odd")}))
+    rows = {r["check_name"]: r["n_violations"] for r in checks.check_counts(checks.warehouse_checks(t)).collect()}
+    once = {r["check_name"]: r["n_violations"] for r in checks.warehouse_counts(t).collect()}
+    assert rows == once and {k for k, v in once.items() if v} >= {
+        "unique_fct_receipt_receipt_id", "not_null_fct_receipt_receipt_id", "not_null_fct_receipt_computed_total", "related_fct_receipt_store_key", "scores_out_of_range",
+        "non_positive_totals", "flagged_have_reasoning", "accepted_mart_review_queue_rule_based_hint", "fan_out",
+    }
 
 
 def test_version_history_and_boundaries(spark):
@@ -141,3 +154,38 @@ def test_unscored_rows_count_but_do_not_sum(spark, tables):
     t = warehouse.build({**raw_sets(tables), "scores": bridge.scores(tables).where("false")}, lines=False)
     row = store_health(t["fct_receipt"], t["dim_store"]).first()
     assert row["n_receipts"] >= 1 and row["n_flagged"] is None and row["avg_anomaly_score"] is None
+
+
+def test_point_in_time_merge_with_one_hot_store(spark):
+    """Rows and versions of one store over many slices, gaps, nulls and repeated rows, against the plain join."""
+    import random
+
+    from tallyforge.operators.facts import point_in_time_join, point_in_time_merge
+
+    rng, day = random.Random(3), dt.datetime(2025, 1, 1)
+    versions, at = [], 0
+    for n in range(400):
+        ends = at + rng.randint(1, 50)
+        versions.append((f"K{n}", "hot" if n < 380 else f"S{n}", day + dt.timedelta(hours=at), day + dt.timedelta(hours=ends)))
+        at = ends + rng.choice([0, 0, 3])
+    rows = [(f"R{i}", rng.choice(["hot"] * 8 + ["S390", "nowhere", None]), rng.choice([day + dt.timedelta(hours=rng.randint(-5, at + 5)), day + dt.timedelta(minutes=rng.randint(0, 60 * at))])) for i in range(3000)]
+    rows += [rows[0], rows[0], ("Rn", "hot", None)] + [(f"E{i}", v[1], v[e]) for i, v in enumerate(versions) for e in (2, 3)]
+    dim = spark.createDataFrame(versions, "store_key string, store_natural_key string, valid_from timestamp_ntz, valid_to timestamp_ntz")
+    df = spark.createDataFrame(rows, "receipt_id string, store_id string, submitted_at timestamp_ntz").repartition(7)
+    got, want = (sorted(map(str, f(df, dim).select("receipt_id", "store_id", "submitted_at", "store_key").collect())) for f in (point_in_time_merge, point_in_time_join))
+    assert got == want and len(got) == len(rows)
+
+
+def test_overlap_sweep_against_all_pairs(spark):
+    import random
+
+    rng, day = random.Random(4), dt.datetime(2025, 1, 1)
+    rows = []
+    for n in range(300):
+        start = rng.randint(0, 2000)
+        rows.append((rng.choice(["hot"] * 5 + ["a", "b"]), f"K{n}", n, day + dt.timedelta(hours=start), day + dt.timedelta(hours=start + rng.choice([0, 1, 2, 30]))))
+    rows += [("whole", "W1", 1, day, day + dt.timedelta(hours=9)), ("whole", "W2", 2, day + dt.timedelta(hours=1), day + dt.timedelta(hours=2)), ("whole", "W3", 3, day + dt.timedelta(hours=5), day + dt.timedelta(hours=6)), ("whole", "W4", 4, day + dt.timedelta(hours=9), day + dt.timedelta(hours=10))]
+    dim = spark.createDataFrame(rows, "store_natural_key string, store_key string, version_number int, valid_from timestamp_ntz, valid_to timestamp_ntz").repartition(5)
+    got = sorted((r.store_natural_key, r.v1, r.v2) for r in checks.version_overlaps(dim).collect())
+    want = sorted((s, v, w) for s, _, v, a, b in rows for z, _, w, c, d in rows if s == z and v != w and max(a, c) < min(b, d))
+    assert got == want and ("whole", 1, 3) in got and ("whole", 1, 4) not in got
