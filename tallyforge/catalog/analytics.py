@@ -699,3 +699,74 @@ def _(t):
     path = scratch_path(t.spark, "drift_report")
     write_report(drift.drift_document(t.spark, report, drift.rounded_slices(receipt_slices(t))), path)
     return t.spark.read.json(path).select("prediction_status", "retrain_recommended", "fairness_passed", F.size("slices").alias("n_slices"))
+
+
+@register("drift_report_values", "select feature, round(psi, 4) as psi, round(psi, 4) >= 0.25e0 as drifted from p_psi", LINE_PSI)
+def _(t):
+    """The stability index of every measure as the stored report has it."""
+    from tallyforge.sources.sinks import write_report
+
+    ref, cur = line_sides(t)
+    path = scratch_path(t.spark, "drift_report")
+    document = drift.drift_document(t.spark, drift.detect_drift(ref, cur, LINE_MEASURES), drift.rounded_slices(receipt_slices(t)))
+    write_report(document, path)
+    doc = t.spark.read.json(path)
+    values = F.map_from_arrays(F.array(*[F.lit(c) for c in LINE_MEASURES]), F.array(*[F.col(f"feature_psi.{c}") for c in LINE_MEASURES]))
+    told = doc.select(F.explode(values).alias("feature", "psi"), F.col("drifted_features").cast("array<string>").alias("moved"))
+    return told.select("feature", "psi", F.array_contains("moved", F.col("feature")).alias("drifted"))
+
+
+@register("psi_top", "select * from (select feature, psi, case when psi < 0.1 then 'stable' when psi < 0.25 then 'moderate' else 'significant' end as band from p_psi order by psi desc, feature limit 2)", LINE_PSI)
+def _(t):
+    return drift.psi_bands(line_psi(t), top=2)
+
+
+@register("gain_importance_order", "select 22 as n_features, true as strongest_first, true as shares_of_one, true as only_split_features")
+def _(t):
+    """Rank order of the gains: strongest first, shares of one, zero for features that no tree splits."""
+    _, fitted = trained(t)
+    rows = model.gain_importance(t.spark, fitted.booster).collect()
+    values = [r["importance"] for r in rows]
+    used = {fitted.booster.features[f] for f in fitted.booster.nodes.feature if f >= 0}
+    told = (len(rows), values == sorted(values, reverse=True), abs(sum(values) - 1) < 1e-9, {r["feature"] for r in rows if r["importance"] > 0} == used)
+    return t.spark.createDataFrame([told], "n_features int, strongest_first boolean, shares_of_one boolean, only_split_features boolean")
+
+
+LANDED = {"receipts": "b_clean", "receipt_items": "b_clean_items", "quarantine": "b_quarantine", "store_master": "b_feed", "scores": "b_scores", "explanations": "b_explanations", "slice_metrics": "c_slices", "shap_global": "(values (1), (2), (3))"}
+
+
+def landing_frames(t: Tables) -> dict:
+    """All eight landing sets; the attributions are those of three columns."""
+    from tallyforge.catalog.warehouse import raw_sets
+
+    b = F.col("o_orderkey") % 1000
+    values = t.orders.select(F.array((b - 500) / F.lit(8.0), (b * 7 % 1000 - 500) / F.lit(8.0), (b * 13 % 1000 - 500) / F.lit(8.0)).alias("values"))
+    return {**raw_sets(t), "slice_metrics": receipt_slices(t), "shap_global": attribution.mean_abs(values, FACTORS)}
+
+
+@register("raw_tables", " union all ".join(f"select 'raw_{n}' as name, count(*) as n from {sql}" for n, sql in LANDED.items()), {"c_slices": RECEIPT_SLICES})
+def _(t):
+    """Managed tables of all landing sets, created and then replaced, in a database under the shared folder."""
+    from functools import reduce
+
+    from tallyforge.sources.sinks import load_raw_tables
+
+    root = scratch_path(t.spark, "database")
+    database = f"raw_{root.split('/')[-2]}"
+    t.spark.sql(f"create database {database} location '{root}'")
+    frames = landing_frames(t)
+    load_raw_tables({"scores": frames["scores"].where("is_flagged = 1")}, database)
+    load_raw_tables(frames, database)
+    counts = [t.spark.table(f"{database}.raw_{n}").agg(F.lit(f"raw_{n}").alias("name"), F.count("*").alias("n")) for n in frames]
+    return reduce(lambda a, b: a.unionByName(b), counts)
+
+
+@register("bronze_views", " union all ".join(f"select 'br_{n}' as name, count(*) as n from {sql}" for n, sql in LANDED.items()), {"c_slices": RECEIPT_SLICES})
+def _(t):
+    """The eight views over the landing sets, read by SQL."""
+    from tallyforge.sources.sinks import bronze_views, land
+
+    root = scratch_path(t.spark, "landing")
+    land(landing_frames(t), root)
+    views = bronze_views(t.spark, root)
+    return t.spark.sql(" union all ".join(f"select 'br_{n}' as name, count(*) as n from br_{n}" for n in views))

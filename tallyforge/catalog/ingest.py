@@ -308,6 +308,56 @@ def _(t):
     return event_windows.window_figures(t.spark, f"{root}/out").withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
+def event_lines(t: Tables, broken: str):
+    """Events as JSON lines; those of the type ``broken`` are cut."""
+    line = F.to_json(F.struct("event_id", "user_id", "event_type", "value"))
+    cut = F.when(F.col("event_type") == broken, F.concat(F.lit("{not json "), F.col("event_id"))).otherwise(line)
+    return t.events.select(cut.alias("value"))
+
+
+@register(
+    "stream_bounded_drain",
+    """select count(*) as received, count(*) filter (event_type <> 'error') as landed, count(*) filter (event_type = 'error') as dead,
+              true as first_stopped, true as rest_followed, count(*) filter (event_type <> 'error') as stored from events""",
+)
+def _(t):
+    """A drain that stops at a wanted number and one that takes up the rest; counts as both acknowledge them."""
+    root = scratch_path(t.spark, "stream")
+    event_lines(t, "error").repartition(4).write.text(f"{root}/in")
+    total = t.events.count()
+
+    def drain(**more):
+        source = landing.file_source(t.spark, f"{root}/in", max_files=1)
+        return landing.drain(source, f"{root}/landed", f"{root}/dead", f"{root}/ckpt", EVENT, "event_id", **more)
+
+    first, rest = drain(enough=max(1, total // 3)), drain()
+    stored = landing.read_landed(t.spark, f"{root}/landed", EVENT)
+    sums = [getattr(first, f) + getattr(rest, f) for f in ("received", "landed", "dead")]
+    told = [*sums, total // 3 <= first.received < total, first.received + rest.received == total]
+    return stored.agg(F.count("*").alias("stored")).select(*[F.lit(v).cast("long" if i < 3 else "boolean").alias(n) for i, (n, v) in enumerate(zip(("received", "landed", "dead", "first_stopped", "rest_followed"), told))], "stored")
+
+
+@register("stream_live_dedupe", "select receipt_id from b_receipts")
+def _(t):
+    """Every message delivered twice, each receipt kept once while the stream runs."""
+    root = scratch_path(t.spark, "stream")
+    lines = sinks.topic_records(bridge.receipts(t)).select("value")
+    lines.unionByName(lines).write.text(f"{root}/in")
+    rows = landing.without_redeliveries(landing.good(landing.decode(landing.file_source(t.spark, f"{root}/in"))))
+    kept = rows.select("receipt_id").writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/ckpt")
+    kept.trigger(availableNow=True).start().awaitTermination()
+    return t.spark.read.schema("receipt_id string").parquet(f"{root}/out")
+
+
+@register("store_health_single_file", "select *, 1 as n_files from store_days")
+def _(t):
+    """The job's small aggregate as one part file, read back."""
+    path = scratch_path(t.spark, "store_health")
+    sinks.write_table(store_health.daily_store_health(bridge.receipt_heads(t), bridge.items(t)), path, single_file=True)
+    back = t.spark.read.parquet(path)
+    return back.withColumn("n_files", F.lit(len(back.inputFiles())))
+
+
 # ---------------------------------------------------------------- text ---
 def money_text(cents):
     return F.concat(F.floor(cents / 100).cast("string"), F.lit("."), F.lpad((cents % 100).cast("string"), 2, "0"))
