@@ -11,13 +11,13 @@ queries meets every block, and only the nearest of each block are merged. Candid
 block, so recall stays as it is whatever the number of rows. Random data of 64 dimensions has nearest
 neighbours hardly nearer than the rest; the default share is set for those, and may be lower elsewhere.
 
-Equal vectors are one entry with its smallest ids (as many as can be asked for), so a vector that a third
+Equal vectors are one entry with its rows of smallest id (as many as can be asked for), so a vector that a third
 of the rows share is hashed once. Equal query vectors are one search.
 
 Defined cases: vectors that are null, empty, zero, or hold a null or a non-finite component take no part,
-nor do rows without id; vectors of different length are never compared; rows with the query's own id are
-no candidates; repeated rows count once; fewer candidates than ``k`` give fewer rows. Ties go to the
-smaller id. Extra columns are ignored.
+nor do rows without id; vectors of different length are never compared; only the query's own row is no
+candidate, other rows of its id and repeated rows are; each row of a query's id is a query of its own; fewer
+candidates than ``k`` give fewer rows. Ties go to the smaller id. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -37,7 +37,7 @@ BLOCK, CHUNK = 8192, 4096
 #: Candidates of a search, as a share of the block and at least.
 SHARE, LEAST = 0.5, 256
 
-_FOUND = pa.schema([("q1", pa.int64()), ("q2", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+_FOUND = pa.schema([("q1", pa.int64()), ("q2", pa.int64()), ("vec_id", pa.int64()), ("row", pa.int64()), ("score", pa.float64())])
 
 
 class Forest:
@@ -98,7 +98,8 @@ def _searched(key: tuple, entries: pa.Table, queries: pa.Table, k: int, share: f
     matrix = lambda t, c: np.asarray(t.column(c).combine_chunks().flatten(), np.float64).reshape(-1, dim)
     # a fixed order: the forest must not depend on how rows arrive
     order = np.lexsort((entries.column("h2").to_numpy(), entries.column("h1").to_numpy()))
-    x, ids = matrix(entries, "vector")[order], [entries.column("ids")[i].as_py() for i in order.tolist()]
+    x = matrix(entries, "vector")[order]
+    members = [[(m["vec_id"], m["row"]) for m in entries.column("members")[i].as_py()] for i in order.tolist()]
     wanted = matrix(queries, "q_vector")
     q1, q2 = queries.column("q_h1").to_numpy(), queries.column("q_h2").to_numpy()
     forest = Forest(x, trees, bits)
@@ -111,8 +112,8 @@ def _searched(key: tuple, entries: pa.Table, queries: pa.Table, k: int, share: f
             if len(near) > k:
                 close = distance <= np.partition(distance, k)[k]
                 near, distance = near[close], distance[close]
-            named = sorted((d, v) for d, r in zip(distance.tolist(), near.tolist()) for v in ids[r])[: k + 1]
-            out += [(int(q1[i]), int(q2[i]), v, d) for d, v in named]
+            named = sorted((d, *m) for d, r in zip(distance.tolist(), near.tolist()) for m in members[r])[: k + 1]
+            out += [(int(q1[i]), int(q2[i]), v, row, d) for d, v, row in named]
     columns = list(zip(*out))
     return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _FOUND)], schema=_FOUND)
 
@@ -134,16 +135,17 @@ def nearest(
     flagged = rows.where(usable(F.col(vector)) & F.col(vec_id).isNotNull()).select(
         F.col(vec_id).cast("bigint").alias("vec_id"), F.col(vector).cast("array<double>").alias("vector"), F.coalesce(is_query, F.lit(False)).alias("asks")
     )
-    hashed = flagged.select("*", F.size("vector").alias("dim"), F.xxhash64("vector").alias("h1"), F.xxhash64(F.lit(5), "vector").alias("h2"))
-    lists = hashed.select("vec_id", "asks", "dim", "h1", "h2").groupBy("vec_id", "dim", "h1", "h2").agg(F.max("asks").alias("asks"))
-    lists = settle(lists)
-    least = Window.partitionBy("h1", "h2", "dim").orderBy("vec_id")
+    # every row is a candidate and may be a query of its own, also one of several with one id; equal vectors are one entry
+    numbered = flagged.select("*", F.size("vector").alias("dim"), F.xxhash64("vector").alias("h1"), F.xxhash64(F.lit(5), "vector").alias("h2"), F.monotonically_increasing_id().alias("row"))
+    hashed = settle(numbered)
+    lists = hashed.drop("vector")
+    least = Window.partitionBy("h1", "h2", "dim").orderBy("vec_id", "row")
     few = lists.withColumn("_at", F.row_number().over(least)).where(F.col("_at") <= k + 1)
-    entries = few.groupBy("h1", "h2", "dim").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
+    entries = few.groupBy("h1", "h2", "dim").agg(F.sort_array(F.collect_list(F.struct("vec_id", "row"))).alias("members"))
     asked = lists.where("asks").select("h1", "h2", "dim").distinct()
-    # one row, that of the smallest id, lends each entry its vector
-    carried = hashed.join(entries.select(F.col("ids")[0].alias("_id"), F.col("h1").alias("_a"), F.col("h2").alias("_b"), "ids"), (F.col("vec_id") == F.col("_id")) & (F.col("h1") == F.col("_a")) & (F.col("h2") == F.col("_b")))
-    stored = settle(carried.dropDuplicates(["h1", "h2", "dim"]).select("h1", "h2", "dim", "ids", "vector"))
+    # the first of its rows lends each entry its vector
+    lent = entries.select(F.col("members")[0]["row"].alias("_row"), "members")
+    stored = settle(hashed.join(lent, F.col("row") == F.col("_row")).select("h1", "h2", "dim", "members", "vector"))
     sizes = {r["dim"]: r["n"] for r in stored.groupBy("dim").agg(F.count("*").alias("n")).collect()}
     asks = {r["dim"]: r["n"] for r in asked.groupBy("dim").agg(F.count("*").alias("n")).collect()}
     kinds = "dim int, blocks int, parts int"
@@ -160,10 +162,10 @@ def nearest(
     def search(key: tuple, entries_: pa.Table, queries_: pa.Table) -> pa.Table:
         return _searched(key, entries_, queries_, k, share, trees, bits)
 
-    found = left.groupBy(*keys).cogroup(right.groupBy(*[f"q_{c}" for c in keys])).applyInArrow(search, "q1 bigint, q2 bigint, vec_id bigint, score double")
-    nearest_ = Window.partitionBy("q1", "q2").orderBy("score", "vec_id")
+    found = left.groupBy(*keys).cogroup(right.groupBy(*[f"q_{c}" for c in keys])).applyInArrow(search, "q1 bigint, q2 bigint, vec_id bigint, row bigint, score double")
+    nearest_ = Window.partitionBy("q1", "q2").orderBy("score", "vec_id", "row")
     best = found.withColumn("_at", F.row_number().over(nearest_)).where(F.col("_at") <= k + 1)
-    ids = lists.where("asks").select(F.col("vec_id").alias("query_id"), F.col("h1").alias("q1"), F.col("h2").alias("q2"))
-    own = ids.join(best, ["q1", "q2"]).where("vec_id <> query_id")
-    ranked = own.withColumn("rank", F.row_number().over(Window.partitionBy("query_id", "q1", "q2").orderBy("score", "vec_id")))
+    ids = lists.where("asks").select(F.col("vec_id").alias("query_id"), F.col("row").alias("own"), F.col("h1").alias("q1"), F.col("h2").alias("q2"))
+    others = ids.join(best, ["q1", "q2"]).where("row <> own")
+    ranked = others.withColumn("rank", F.row_number().over(Window.partitionBy("own").orderBy("score", "vec_id", "row")))
     return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

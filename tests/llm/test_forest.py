@@ -12,11 +12,10 @@ from tallyforge.llm.queries import QUERIES
 def brute(rows, k=10):
     """(query, rank, id, distance) over every usable row."""
     ok = [(i, [float(np.float32(c)) for c in v]) for i, v in rows if i is not None and v and all(c is not None and math.isfinite(c) for c in v) and any(v)]
-    ok = list({(i, tuple(v)) for i, v in ok})
     out = []
-    for i, v in ok:
+    for a, (i, v) in enumerate(ok):
         if i % 100 == 0:
-            near = sorted((math.sqrt(sum((a - b) ** 2 for a, b in zip(v, w))), j) for j, w in ok if j != i and len(w) == len(v))[:k]
+            near = sorted((math.sqrt(sum((x - y) ** 2 for x, y in zip(v, w))), j) for b, (j, w) in enumerate(ok) if a != b and len(w) == len(v))[:k]
             out += [(i, r, j, d) for r, (d, j) in enumerate(near, 1)]
     return sorted(out)
 
@@ -56,6 +55,14 @@ def test_candidates_grow_to_the_wanted_number():
             assert len(rows) >= min(wanted, 500) and i in rows
 
 
+def test_an_id_with_a_dozen_vectors_and_repeated_rows(spark):
+    rng = random.Random(7)
+    rows = [(100, [1.0 + i / 64, 1.0]) for i in range(13)] + [(100, [1.0, 1.0])] * 3 + [(i, [rng.random(), rng.random()]) for i in range(1, 60)] + [(9, [1.0, 1.0])] * 2
+    got = run(spark, rows, share=1.0)
+    same(got, brute(rows))
+    assert len(got) == 16 * 10
+
+
 def test_empty_and_few(spark):
     assert run(spark, []) == []
     assert run(spark, [(7, [1.0])]) == []
