@@ -41,8 +41,8 @@ UNDETERMINED = "und"
 LENGTHS = [8, 32, 128, 512, 2048]
 #: How far above the calibrated cross-entropy (nats per character) a text under LONG characters may lie.
 LONG, SLACK = 128, 0.9
-#: Where a longer text's limit lies between own texts (0) and foreign ones (1).
-SHARE = 0.45
+#: Where a longer text's limit lies between own texts (0) and foreign ones (1), and how far above own texts at least.
+SHARE, ROOM = 0.45, 0.5
 
 _LETTER: np.ndarray | None = None
 
@@ -193,12 +193,14 @@ class Models:
 
         Own texts show how high a language's texts go; the same texts under the other languages' models show
         where texts of a language that is not learned begin. From ``LONG`` characters on the limit of a class
-        lies ``SHARE`` of the way from the first (99 of 100 own texts are below) to the second (95 of
-        100 foreign ones are above, in the language nearest to the others). Shorter texts say less: there the
-        largest own cross-entropy but for one in a thousand, and ``SLACK``. A class with under 20 own texts
-        takes the next longer class's limit, and slack if it is short; a language without a class of 20 one
-        limit from all its texts and, under 20, those of all languages. With one language nothing foreign is
-        known and slack stands in; only without a single text is nothing rejected.
+        lies ``SHARE`` of the way from the first (99 of 100 own texts are below) to the second (the middle of the
+        foreign ones, in the language nearest to the others), and at least ``ROOM`` above the first: where labels
+        are wrong or texts mixed, the models know something of each other's languages, and foreign texts seem
+        nearer than those of an unknown language are. Shorter texts say less: there the largest own
+        cross-entropy but for one in a thousand, and ``SLACK``. A class with under 20 own texts takes the next
+        longer class's limit, and slack if it is short; a language without a class of 20 one limit from all its
+        texts and, under 20, those of all languages. With one language nothing foreign is known and slack stands
+        in; only without a single text is nothing rejected.
         """
         index = {lang: i for i, lang in enumerate(self.languages)}
         found: dict[tuple[int, int], list[float]] = {}
@@ -210,14 +212,14 @@ class Models:
                 if len(self.languages) > 1:
                     strange.setdefault(at, []).append(float(np.delete(entropy, index[lang]).min()))
         first_long = int(np.searchsorted(LENGTHS, LONG, "right"))
-        far = [np.quantile(e, 0.05) for (k, _), e in strange.items() if k >= first_long and len(e) >= 20]
-        begins = float(min(far)) if far else float(np.quantile(sum(strange.values(), []), 0.05)) if strange else None
+        far = [np.median(e) for (k, _), e in strange.items() if k >= first_long and len(e) >= 20]
+        begins = float(min(far)) if far else float(np.median(sum(strange.values(), []))) if strange else None
 
         def limit(own: list[float], k: int) -> float:
             if k < first_long:
                 return float(np.quantile(own, 0.999)) + SLACK
             high = float(np.quantile(own, 0.99))
-            return high + (SLACK if begins is None else SHARE * max(0.0, begins - high))
+            return high + (SLACK if begins is None else max(ROOM, SHARE * (begins - high)))
 
         for lang in range(len(self.languages)):
             last = None
