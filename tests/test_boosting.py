@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -123,3 +124,32 @@ def test_root_gains_are_those_of_the_fit(spark):
     root = boosting.fit(df, NAMES, "y", "id", settings).nodes.iloc[0]
     assert (NAMES[int(root.feature)], root.cut) == (full.feature, full.cut) and root.gain == pytest.approx(full.gain)
     assert best.gain <= full.gain + 1e-9 and gains.count() == sum(map(len, edges))
+
+
+def test_tasks_at_work_together_give_the_same_trees(spark):
+    data, settings = rows(600, 1), Settings(rounds=5, depth=4, least_curvature=1.0)
+    one = boosting.fit(frame(spark, data, 1), NAMES, "y", "id", settings)
+    many = boosting.fit(frame(spark, data[::-1], 5), NAMES, "y", "id", settings, one_task=0, tasks=3)
+    jobs = boosting.fit(frame(spark, data[::-1], 5), NAMES, "y", "id", settings, one_task=0, store_every=2, tasks=0)
+    idle = boosting.fit(frame(spark, data[:2], 1), NAMES, "y", "id", settings, one_task=0, tasks=4)  # tasks without rows
+    assert one.nodes.equals(many.nodes) and one.nodes.equals(jobs.nodes) and len(one.nodes) > 30
+    assert set(idle.nodes.node) == {1}
+    assert boosting.slots(spark) == 4
+
+
+def test_only_the_smaller_child_is_counted():
+    """Later levels ask for half of the open nodes, the last level's leaves for none."""
+    settings = Settings(rounds=1, depth=3, rows=1.0, columns=1.0, least_curvature=0.0)
+    rng = np.random.default_rng(0)
+    bins, label = rng.integers(0, 8, (500, 3)).astype(np.uint8), rng.integers(0, 2, 500).astype(float)
+    table = {"key": np.arange(500), "label": label, "weight": np.ones(500), "bins": [b.tobytes() for b in bins], "margin": np.zeros(500)}
+    block, tree, asked = boosting.Block(pa.table(table), settings, 3), boosting.Tree(0, settings, 3), []
+    block.begin(0, tree.columns)
+    while tree.open:
+        asked.append((len(tree.open), len(tree.wanted)))
+        block.descend(tree.level(block.histogram(tree.wanted)))
+    assert asked == [(1, 1), (2, 1), (4, 2)] and len(tree.leaves) == 7  # one node stays whole
+    g, h = boosting.gradients(np.zeros(500), label, np.ones(500))
+    for leaf, value in tree.leaves.items():
+        here = block.node == leaf
+        assert value == pytest.approx(-settings.rate * g[here].sum() / (h[here].sum() + settings.l2 * boosting.UNIT), abs=1e-12)
