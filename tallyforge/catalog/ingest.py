@@ -219,12 +219,17 @@ def _(t):
     ).drop("items")
 
 
+#: Receipts of a wrapped JSON document; one task reads a document whole.
+PER_DOCUMENT = 5_000
+
+
 @register("source_json_wrapper", f"select {HEAD}, subtotal, tax, total, cast(n_items as integer) as n_items, first_sku, last_qty, first_price, last_price, names from folded")
 def _(t):
-    """The same receipts as JSON documents, each an array of up to a few hundred under one key."""
+    """The same receipts as JSON documents, each an array of a few thousand at most under one key."""
     path = scratch_path(t.spark, "receipts.json")
     stamped = canonical(t).withColumn("submitted_at", F.date_format("submitted_at", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
-    parts = stamped.groupBy(F.pmod(F.xxhash64("receipt_id"), F.lit(64)).alias("part")).agg(F.collect_list(F.struct(*stamped.columns)).alias("receipts"))
+    n = max(64, t.orders.count() // PER_DOCUMENT)
+    parts = stamped.groupBy(F.pmod(F.xxhash64("receipt_id"), F.lit(n)).alias("part")).agg(F.collect_list(F.struct(*stamped.columns)).alias("receipts"))
     documents = parts.select("part", F.to_json(F.struct("receipts"), {"ignoreNullFields": "false"}).alias("value"))
     documents.repartition("part").write.partitionBy("part").text(path)
     return summary(files.read_receipts(t.spark, path))

@@ -130,3 +130,32 @@ def test_json_reader_takes_a_schema(spark, tmp_path):
     path = put(tmp_path, "x.jsonl", json.dumps({"receipt_id": "a", "total": 1.5}))
     schema = S.T.StructType([S.RECEIPT["receipt_id"], S.RECEIPT["total"]])
     assert read_json(spark, path, schema=schema, lines=True).first()["total"] == 1.5
+
+
+def test_wrapped_json_is_read_about_as_fast_as_lines(spark, tmp_path):
+    """Numbers of a document keep their text without a look into the file for each."""
+    import time
+
+    item = '{"sku": "007", "name": "x", "qty": 1, "unit_price": 1.50}'
+    rows = ['{"receipt_id": %d, "total": 1.50, "submitted_at": "2024-01-01T00:00:00Z", "items": [%s]}' % (i, ",".join([item] * 8)) for i in range(6000)]
+    (tmp_path / "w.json").write_text('{"receipts": [%s]}' % ",\n".join(rows))
+    (tmp_path / "l.jsonl").write_text("\n".join(rows))
+    took = []
+    for name, lines in (("l.jsonl", True), ("w.json", False), ("l.jsonl", True), ("w.json", False)):
+        began = time.time()
+        got = read_json(spark, str(tmp_path / name), lines=lines).where("receipt_id = '5999'").collect()
+        took.append(time.time() - began)
+        assert [(r.receipt_id, r.total, r["items"][7].unit_price, r["items"][7].sku) for r in got] == [("5999", "1.50", "1.50", "007")]
+    assert took[3] < 3 * took[2] + 1
+
+
+def test_documents_are_whole_or_refused(spark, tmp_path):
+    text = '[{"receipt_id": "\u0101\u0100\u0201",\r\n "total": 1.50}, {"receipt_id": "b", "total": 2}]'
+    for encoding in ("utf-8", "utf-8-sig", "utf-16-le", "utf-32-be"):
+        (tmp_path / f"{encoding}.json").write_bytes(text.encode(encoding))
+        df = lambda: read_json(spark, str(tmp_path / f"{encoding}.json")).collect()
+        if encoding.startswith("utf-8"):
+            assert [(r.receipt_id, r.total) for r in df()] == [("\u0101\u0100\u0201", "1.50"), ("b", "2")]
+        else:
+            with pytest.raises(Exception):
+                df()
