@@ -189,3 +189,32 @@ def test_overlap_sweep_against_all_pairs(spark):
     got = sorted((r.store_natural_key, r.v1, r.v2) for r in checks.version_overlaps(dim).collect())
     want = sorted((s, v, w) for s, _, v, a, b in rows for z, _, w, c, d in rows if s == z and v != w and max(a, c) < min(b, d))
     assert got == want and ("whole", 1, 3) in got and ("whole", 1, 4) not in got
+
+
+def test_a_row_meets_only_versions_of_its_day(spark):
+    """Versions outside the span of the rows, or of other days, are no partners; ends and gaps are as stamped."""
+    from pyspark.sql import functions as F
+
+    from tallyforge.operators.facts import point_in_time_join
+
+    stamp = lambda c: F.col(c).cast("timestamp_ntz").alias(c)
+    many = [("S", f"v{i}", f"{2000 + i}-01-01 06:00:00", f"{2001 + i}-01-01 06:00:00") for i in range(500)]
+    odd = [("S", "gone", "2001-06-01 00:00:00", "2001-06-01 00:00:00"), ("S", None, None, "2002-01-01 00:00:00"), ("T", "t", "2001-03-01 10:00:00", "2001-03-01 11:00:00")]
+    dim = spark.createDataFrame(many + odd, "store_natural_key string, store_key string, valid_from string, valid_to string")
+    dim = dim.select("store_natural_key", "store_key", stamp("valid_from"), stamp("valid_to"))
+    asked = [("a", "S", "2001-01-01 05:59:59"), ("b", "S", "2001-01-01 06:00:00"), ("c", "T", "2001-03-01 10:59:59"), ("d", "T", "2001-03-01 11:00:00"), ("e", "S", None), ("f", None, "2001-01-01 06:00:00")]
+    rows = spark.createDataFrame(asked, "receipt_id string, store_id string, submitted_at string").select("receipt_id", "store_id", stamp("submitted_at"))
+    hit = point_in_time_join(rows, dim)
+    assert {r.receipt_id: r.store_key for r in hit.collect()} == {"a": "v0", "b": "v1", "c": "t", "d": None, "e": None, "f": None} and hit.count() == 6
+    plan = hit._jdf.queryExecution().executedPlan().toString()
+    assert "_day" in plan  # the day is a join key, so 500 versions of a store are not compared with each row
+    assert point_in_time_join(rows.limit(0), dim).count() == 0
+
+
+def test_lines_are_dealt_once(spark, tables):
+    """The order of lines and the fold to receipts share one exchange of the lines."""
+    from tallyforge import bridge
+
+    folded = bridge.items(tables).groupBy("receipt_id").count()
+    plan = folded._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(receipt_id") == 1 and "hashpartitioning(l_orderkey" not in plan
