@@ -5,6 +5,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame
 
 from tallyforge.operators import boosting
 from tallyforge.operators.boosting import Settings
@@ -137,6 +138,16 @@ def test_tasks_at_work_together_give_the_same_trees(spark):
     assert boosting.slots(spark) == 4
 
 
+def test_no_fit_waits_for_a_barrier(spark, monkeypatch):
+    """On a cluster every exchange of a barrier stage takes a second, so levels must not meet in one."""
+    flags, plain_map = [], DataFrame.mapInArrow
+    monkeypatch.setattr(DataFrame, "mapInArrow", lambda df, f, schema, barrier=False, **k: (flags.append(barrier), plain_map(df, f, schema, barrier, **k))[1])
+    settings = Settings(rounds=5, depth=4, least_curvature=1.0)
+    one = boosting.fit(frame(spark, rows(600, 1), 1), NAMES, "y", "id", settings)
+    many = boosting.fit(frame(spark, rows(600, 1), 5), NAMES, "y", "id", settings, one_task=0, store_every=2)
+    assert flags and not any(flags) and one.nodes.equals(many.nodes)
+
+
 def test_only_the_smaller_child_is_counted():
     """Later levels ask for half of the open nodes, the last level's leaves for none."""
     settings = Settings(rounds=1, depth=3, rows=1.0, columns=1.0, least_curvature=0.0)
