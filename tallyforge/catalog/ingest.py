@@ -342,12 +342,16 @@ def _(t):
     return stored.agg(F.count("*").alias("stored")).select(*[F.lit(v).cast("long" if i < 3 else "boolean").alias(n) for i, (n, v) in enumerate(zip(("received", "landed", "dead", "first_stopped", "rest_followed"), told))], "stored")
 
 
+def deliver(messages, path: str, times: int) -> None:
+    """Every message so many times as lines of compressed files; each is made once."""
+    messages.select(F.explode(F.array_repeat("value", times)).alias("value")).write.option("compression", "gzip").text(path)
+
+
 @register("stream_live_dedupe", "select receipt_id from b_receipts")
 def _(t):
     """Every message delivered twice, each receipt kept once while the stream runs."""
     root = scratch_path(t.spark, "stream")
-    lines = sinks.topic_records(bridge.receipts(t)).select("value")
-    lines.unionByName(lines).write.text(f"{root}/in")
+    deliver(sinks.topic_records(bridge.receipts(t)), f"{root}/in", times=2)
     rows = landing.without_redeliveries(landing.good(landing.decode(landing.file_source(t.spark, f"{root}/in"))))
     kept = rows.select("receipt_id").writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/ckpt")
     kept.trigger(availableNow=True).start().awaitTermination()

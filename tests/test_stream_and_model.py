@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tallyforge import bridge, schemas as S
 from tallyforge.bridge import AS_OF
+from tallyforge.catalog import ingest
 from tallyforge.catalog.analytics import trained
 from tallyforge.operators import attribution, defects, features, model
 from tallyforge.plans import batch, scoring
@@ -21,6 +22,15 @@ def messages(spark, tables, tmp_path_factory):
     return root
 
 
+def test_messages_are_made_once_and_delivered_twice(spark, tmp_path):
+    made = spark.sparkContext.accumulator(0)
+    rows = spark.range(40).rdd.map(lambda r: (made.add(1), (f"message {r.id}" if r.id else None,))[1])
+    ingest.deliver(spark.createDataFrame(rows, "value string"), str(tmp_path / "in"), 2)
+    got = sorted(r.value for r in spark.read.text(str(tmp_path / "in")).collect())
+    assert got == sorted([f"message {i}" if i else "" for i in range(40)] * 2) and made.value == 40
+    assert {p.suffix for p in (tmp_path / "in").glob("part-*")} == {".gz"}
+
+
 def test_drain_lands_every_receipt_once(spark, tables, messages):
     run = lambda: landing.drain(
         landing.file_source(spark, str(messages / "in"), max_files=2), str(messages / "landed"), str(messages / "dead"), str(messages / "ckpt")
