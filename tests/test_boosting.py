@@ -164,3 +164,11 @@ def test_only_the_smaller_child_is_counted():
     for leaf, value in tree.leaves.items():
         here = block.node == leaf
         assert value == pytest.approx(-settings.rate * g[here].sum() / (h[here].sum() + settings.l2 * boosting.UNIT), abs=1e-12)
+
+
+def test_rows_that_one_task_is_faster_with_need_no_job_a_level(spark, monkeypatch):
+    """A quarter of a million rows, as many as orders of some hundredths of a GB give."""
+    monkeypatch.setattr(boosting, "_by_levels", lambda *a: pytest.fail("a job for each level"))
+    df = spark.range(250_000).select(F.concat(F.lit("R"), "id").alias("id"), *[(F.xxhash64("id", F.lit(n)) % 1000 / 7.0).alias(n) for n in NAMES], (F.col("id") % 9 == 0).cast("int").alias("y"))
+    fitted = boosting.fit(df, NAMES, "y", "id", Settings(rounds=1, depth=2))
+    assert set(fitted.nodes.tree) == {0}
