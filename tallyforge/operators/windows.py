@@ -4,7 +4,8 @@ Rows of one user are ordered by (timestamp, id); a row sees only rows before it
 window older. Rows are dealt by user and window-long period; each row also stands in the next period, so a
 period holds all that its own rows can see, however long the user's history is. Ordinary periods use a
 range frame. A period with more than ``busy_rows`` rows (a default account may hold a third of them all)
-goes through ``busy_windows``, which never puts one user's rows in one task. Both follow one rule:
+goes through ``busy_windows``: up to ``task_rows`` of its rows as one matrix in a task, beyond that in slices, which
+never puts one period's rows in one task. All follow one rule:
 
 * ``n_prior`` counts the prior rows, with or without a value;
 * ``median_prior`` is over those with a value, null if there is none;
@@ -17,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyforge.operators.busy_windows import busy_prior_window
+from tallyforge.operators.busy_windows import TASK_ROWS, busy_period_window, busy_prior_window
 from tallyforge.session import settle
 
 BUSY_ROWS = 2000
@@ -50,7 +51,7 @@ def _ordinary(rows: DataFrame, window_us: int) -> DataFrame:
 
 
 def prior_window(
-    df: DataFrame, user: str, ts: str, value: str, row_id: str, hours: int = 24, busy_rows: int | None = BUSY_ROWS
+    df: DataFrame, user: str, ts: str, value: str, row_id: str, hours: int = 24, busy_rows: int | None = BUSY_ROWS, task_rows: int = TASK_ROWS
 ) -> DataFrame:
     """(row_id, n_prior, median_prior, n_same) for rows with a user and a time; ``ts`` in microseconds.
 
@@ -69,15 +70,21 @@ def prior_window(
     if busy_rows is None:
         return _ordinary(dealt, window_us).withColumnRenamed("id", row_id)
     dealt = settle(dealt)
-    busy = (
+    busy = settle(
         dealt.groupBy(F.col("u").alias("bu"), F.col("period").alias("bp"))
         .agg(F.count(F.lit(1)).alias("n"), F.max("own").alias("some"))
-        .where((F.col("n") > busy_rows) & F.col("some"))
-        .select("bu", "bp")
+        .where(F.col("n") > busy_rows)
     )
     if busy.isEmpty():
         return _ordinary(dealt, window_us).withColumnRenamed("id", row_id)
     same = (F.col("u") == F.col("bu")) & (F.col("period") == F.col("bp"))
     ordinary = _ordinary(dealt.join(busy, same, "left_anti"), window_us)
-    heavy = dealt.join(busy, same, "left_semi").select(F.struct("u", "period").alias("u"), "ts", "v", "id", "own")
-    return ordinary.unionByName(busy_prior_window(heavy, window_us, CLOSE_ABS, CLOSE_REL)).withColumnRenamed("id", row_id)
+    # a period in which no row is its own has nothing to answer, and a range frame would hold all of it
+    asked = busy.where("some")
+    held = dealt.join(asked.where(F.col("n") <= task_rows), same, "left_semi")
+    found = ordinary.unionByName(busy_period_window(held, window_us, CLOSE_ABS, CLOSE_REL))
+    larger = asked.where(F.col("n") > task_rows)
+    if not larger.isEmpty():
+        heavy = dealt.join(larger, same, "left_semi").select(F.struct("u", "period").alias("u"), "ts", "v", "id", "own")
+        found = found.unionByName(busy_prior_window(heavy, window_us, CLOSE_ABS, CLOSE_REL))
+    return found.withColumnRenamed("id", row_id)

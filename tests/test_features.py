@@ -236,3 +236,31 @@ def test_busy_periods_in_slices_of_any_size(spark, side, monkeypatch):
         same = 0 if v is None else sum(abs(w - v) <= 0.01 + 1e-5 * abs(v) for w in valued)
         n, median, close = got[i]
         assert (n, close) == (len(prior), same) and (median is None if not valued else median == pytest.approx(statistics.median(valued), rel=1e-12)), i
+
+
+@pytest.mark.parametrize("task_rows", [0, 60, 10**6])
+def test_busy_periods_in_one_task_and_beyond(spark, task_rows, monkeypatch):
+    """A busy period that one task can hold does not go through slices; both ways give what lists give."""
+    if task_rows == 10**6:
+        monkeypatch.setattr(windows, "busy_prior_window", lambda *a: pytest.fail("a small period went through slices"))
+    rng, day, rows = random.Random(5), 24 * 3600 * 10**6, []
+    for i in range(260):
+        value = rng.choice([None, 5.0, 5.01, 5.03, -4000.0, -4000.05, 0.0, -0.0, rng.random() * 9])
+        rows.append((f"u{i % 3 % 2}", rng.randrange(-day, 2 * day, day // 24) + i % 2, value, i))
+    rows += [("lone", 3 * day, None, 900), ("lone", 3 * day + 1, 2.0, 901), ("lone", 3 * day + 2, None, 902), ("lone", 3 * day + 3, 2.005, 903)]
+    df = spark.createDataFrame(rows, "u string, ts bigint, v double, rid bigint").withColumn("rid", F.struct("rid", "u"))
+    found = prior_window(df, "u", "ts", "v", "rid", busy_rows=1, task_rows=task_rows).collect()
+    got = {r["rid"]["rid"]: (r["n_prior"], r["median_prior"], r["n_same"]) for r in found}
+    want = brute(rows, 24)
+    assert len(found) == len(want) and got.keys() == want.keys()
+    for k, (n, median, same) in want.items():
+        assert got[k] == (n, None if median is None else pytest.approx(median, rel=1e-12), same), k
+
+
+def test_a_busy_period_without_rows_of_its_own_is_left_out(spark, monkeypatch):
+    """The day after a busy one holds all its rows to be seen and none to answer for; no range frame goes over them."""
+    seen, plain = [], windows._ordinary
+    monkeypatch.setattr(windows, "_ordinary", lambda rows, w: (seen.append(rows.count()), plain(rows, w))[1])
+    df = spark.createDataFrame([("u", i, float(i), i) for i in range(30)], "u string, ts bigint, v double, rid bigint")
+    got = prior_window(df, "u", "ts", "v", "rid", busy_rows=1).collect()
+    assert seen == [0] and sorted(r["n_prior"] for r in got) == list(range(30))
