@@ -7,10 +7,10 @@ case, digits, versions and ``the``; ``licence``, ``licenses`` are ``license``.
 
 A template is a name, a lead with a short name (``SPDX-License-Identifier: MIT``) or a text. A line or group
 of lines is looked at if it has enough of some template's word pairs. A multinomial logistic regression over
-hashed word n-grams (one to three words) gives it a family or ``unknown``. It is trained on statements that a
-rule builds from the templates and, as ``unknown``, on paragraphs of the corpus itself. The least probability
-a family needs is calibrated on further such paragraphs. A prediction counts when a template of its family
-confirms it. ``All rights reserved`` right before a licence's own text belongs to that licence's copyright
+hashed word n-grams (those of one to three words that the statements have) gives it a family or ``unknown``. It is
+trained on statements that a rule builds from the templates and, as ``unknown``, on three quarters of all paragraphs of
+the corpus itself, folded to one weighted row for each set of n-grams. The least probability a family needs is
+calibrated on the other quarter. A prediction counts when a template of its family confirms it. ``All rights reserved`` right before a licence's own text belongs to that licence's copyright
 line and does not count as ``proprietary``.
 
 Sentences without any word of ``STEMS`` are set aside by a pattern before anything costly. The pattern is
@@ -34,10 +34,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyforge.functions.staging import compute_once
-from tallyforge.llm.common import plain, sampled
+from tallyforge.llm.common import plain
+from tallyforge.operators.ordering import running_totals
+from tallyforge.session import settle
 
 UNKNOWN = "unknown"
 FEATURES = 1 << 13
+#: What all ordinary paragraphs together weigh in training, as a multiple of the statements.
+ORDINARY = 10
 #: Share of a template's word pairs that confirms it.
 LEAST = 0.6
 #: Lines that are compared together at most; groups overlap by half.
@@ -170,8 +174,23 @@ def grams(word: Column, n: int) -> Column:
     return F.when(last >= 0, runs).otherwise(F.array().cast("array<string>"))
 
 
-def featured(df: DataFrame, paragraph: str) -> DataFrame:
-    listed = df.withColumn("_words", words(F.col(paragraph))).withColumn("_grams", F.concat(F.col("_words"), grams(F.col("_words"), 2), grams(F.col("_words"), 3)))
+def _known() -> list[str]:
+    """The runs of one to three words that the rule-built statements and the decoys have."""
+    texts = [w for _, text in statements() for w in [_words(text)]] + [_words(d) for d in DECOYS]
+    return sorted({" ".join(w[i : i + n]) for w in texts for n in (1, 2, 3) for i in range(len(w) - n + 1)})
+
+
+KNOWN = _known()
+
+
+def known_grams(df: DataFrame, paragraph: str) -> DataFrame:
+    """``df`` with ``_grams``: which of the ``KNOWN`` runs of words a paragraph has, each once, in order."""
+    listed = compute_once(df, {"_words": words(F.col(paragraph))})
+    runs = F.concat("_words", grams(F.col("_words"), 2), grams(F.col("_words"), 3))
+    return listed.withColumn("_grams", F.array_sort(F.array_distinct(F.filter(runs, lambda g: g.isin(KNOWN))))).drop("_words")
+
+
+def featured(listed: DataFrame) -> DataFrame:
     return HashingTF(numFeatures=FEATURES, inputCol="_grams", outputCol="features", binary=True).transform(listed)
 
 
@@ -231,34 +250,48 @@ class Model:
         self.model, self.families, self.least = model, families, least
 
 
-def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ordinary_docs: int = 400) -> Model:
-    """Fit on the rule-built statements and, as ``unknown``, on paragraphs of about ``ordinary_docs`` documents.
+def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Model:
+    """Fit on the rule-built statements and, as ``unknown``, on the paragraphs of all documents.
 
     Of these paragraphs (those without a stem) three quarters train, and one quarter sets the least
-    probability: so high that at most one in a thousand of them would pass.
+    probability: so high that at most one in a thousand of them would pass. Paragraphs with the same known runs of
+    words are one row with their number as its weight; all together weigh ``ORDINARY`` times the statements.
     """
     spark = docs.sparkSession
     own = plain(docs, doc_id, text).where(F.col(text).isNotNull())
-    ordinary = paragraphs(sampled(own, ordinary_docs, doc_id, seed=10), doc_id, text).where(~F.col("paragraph").rlike(STEMS))
-    ordinary = ordinary.withColumn("_side", F.pmod(F.xxhash64("doc_id", "paragraph_no"), F.lit(4)))
+    ordinary = paragraphs(own, doc_id, text).where(~F.col("paragraph").rlike(STEMS))
+    aside = (F.pmod(F.xxhash64("doc_id", "paragraph_no"), F.lit(4)) == 0).cast("long")
+    folded = known_grams(ordinary.select("paragraph", aside.alias("aside")), "paragraph").groupBy("_grams")
+    folded = settle(folded.agg(F.sum(1 - F.col("aside")).alias("n"), F.sum("aside").alias("aside")))
+    sums = folded.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("aside"), F.lit(0)).alias("aside")).first()
     rows = statements() + [(UNKNOWN, d) for d in DECOYS for _ in range(4)]
     families = sorted({f for f, _ in rows})
     number = F.array_position(F.array(*[F.lit(f) for f in families]), F.col("family")) - 1
-    given = spark.createDataFrame(rows, "family string, paragraph string")
-    unknown = ordinary.where("_side > 0").select(F.lit(UNKNOWN).alias("family"), "paragraph")
-    training = featured(given.unionByName(unknown), "paragraph").withColumn("label", number.cast("double")).select("label", "features").coalesce(8)
-    fit = LogisticRegression(family="multinomial", maxIter=40, regParam=1e-3).fit(training)
+    given = known_grams(spark.createDataFrame(rows, "family string, paragraph string").coalesce(1), "paragraph")
+    share = ORDINARY * len(rows) / max(sums["n"], 1)
+    unknown = folded.where("n > 0").select(F.lit(UNKNOWN).alias("family"), "_grams", (F.col("n") * share).alias("weight"))
+    training = given.select("family", "_grams", F.lit(1.0).alias("weight")).unionByName(unknown)
+    training = featured(training).withColumn("label", number.cast("double")).select("label", "weight", "features")
+    fit = LogisticRegression(family="multinomial", maxIter=40, regParam=1e-3, weightCol="weight").fit(training)
     model = Model(fit, families, 0.5)
-    aside = predicted(ordinary.where("_side = 0"), model).where(F.col("family") != UNKNOWN)
-    seen = ordinary.where("_side = 0").count()
-    over = aside.select("probability").orderBy(F.desc("probability")).limit(seen // 1000 + 1).collect()
-    model.least = max(0.5, over[-1]["probability"] if len(over) > seen // 1000 else 0.5)
+    taken = classified(folded.where("aside > 0"), model).where(F.col("family") != UNKNOWN).select("probability", "aside")
+    # the first probability from above, with which more than one in a thousand would pass
+    most = sums["aside"] // 1000
+    ranked = running_totals(taken, [], "probability", {"n": F.col("aside")})
+    above = F.col("n_all") - F.col("n_before") - F.col("n")
+    over = ranked.where((above <= most) & (above + F.col("n") > most)).select("probability").collect()
+    model.least = max(0.5, over[0]["probability"] if over else 0.5)
     return model
 
 
 def predicted(found: DataFrame, model: Model) -> DataFrame:
     """``found`` with family (best class) and probability."""
-    scored = model.model.setProbabilityCol("_p").transform(featured(found, "paragraph"))
+    return classified(known_grams(found, "paragraph"), model)
+
+
+def classified(listed: DataFrame, model: Model) -> DataFrame:
+    """The same from the known runs of words."""
+    scored = model.model.setProbabilityCol("_p").transform(featured(listed))
     listed = scored.withColumn("_p", vector_to_array("_p"))
     best = F.array_max(F.zip_with("_p", F.array(*[F.lit(-i) for i in range(len(model.families))]), lambda p, i: F.struct(p.alias("p"), i.alias("i"))))
     # later filters would otherwise repeat the whole model for every use of its result

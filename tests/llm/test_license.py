@@ -98,3 +98,13 @@ def test_stems_hold_for_parts_of_templates():
     for pairs in (p for listed in license.TEMPLATES.values() for p in listed):
         left = [p for p in pairs if not re.search(license.STEMS, " ".join(p))]
         assert len(left) < license.LEAST * len(pairs), pairs
+
+
+def test_model_and_threshold_come_from_all_documents(spark, monkeypatch):
+    """One document's paragraphs among thousands count, in training and, as the thousandth part, in the least probability."""
+    rows = [(i, PLAIN[i % 4], None) for i in range(2000)]
+    odd = "\n".join(f"the public domain dedication of apache helicopters {k}" for k in range(400))
+    at = lambda docs: license.classified(license.known_grams(spark.createDataFrame([("general public apache",)], "paragraph string"), "paragraph"), license.train(spark.createDataFrame(docs, SCHEMA))).first()
+    monkeypatch.setattr(license, "STEMS", r"(?i)(?<![a-z])licen[sc]e")  # or these paragraphs would be set aside
+    for doc_id in (7001, 7002, 7003):
+        assert at([*rows, (doc_id, odd, None)]).probability != at(rows).probability
