@@ -218,3 +218,17 @@ def test_lines_are_dealt_once(spark, tables):
     folded = bridge.items(tables).groupBy("receipt_id").count()
     plan = folded._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(receipt_id") == 1 and "hashpartitioning(l_orderkey" not in plan
+
+
+def test_review_queue_comes_highest_score_first(spark):
+    from tallyforge.operators.marts import review_queue
+
+    facts = spark.range(0, 60, 1, 6).selectExpr(
+        "concat('R', lpad(cast((id * 37) % 60 as string), 2, '0')) as receipt_id", "timestamp_ntz'2025-01-01 00:00:00' as submitted_at", "'ST001' as store_id",
+        "if(id % 7 = 0, null, 'k1') as store_key", "'U1' as user_id", "cast((id * 7) % 20 as double) / 20 as anomaly_score", "cast(id % 3 > 0 as int) as is_flagged", "'f' as top_factors",
+        "1.0D as reported_total", "1.0D as computed_total", "0.0D as total_residual", "0.0D as total_residual_pct", "1 as n_items", "1 as max_qty", "1.0D as max_unit_price",
+        "0.9D as image_quality", "false as fails_reconciliation",
+    )
+    dim = spark.createDataFrame([("k1", "west", "express")], "store_key string, region string, store_format string")
+    got = [(-r["anomaly_score"], r["receipt_id"]) for r in review_queue(facts, dim).collect()]
+    assert len(got) == 40 and got == sorted(got)
