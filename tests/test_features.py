@@ -264,3 +264,38 @@ def test_a_busy_period_without_rows_of_its_own_is_left_out(spark, monkeypatch):
     df = spark.createDataFrame([("u", i, float(i), i) for i in range(30)], "u string, ts bigint, v double, rid bigint")
     got = prior_window(df, "u", "ts", "v", "rid", busy_rows=1).collect()
     assert seen == [0] and sorted(r["n_prior"] for r in got) == list(range(30))
+
+
+def test_resubmissions_stand_beside_their_receipts(spark):
+    """The same rows as receipts and changed copies put together, and one pass over what makes the receipts."""
+    from tallyforge.operators import defects
+
+    rows = spark.range(400).selectExpr(
+        "concat('R', id) as receipt_id", "timestamp'2025-01-01 00:00:00' + make_dt_interval(0, 0, cast(id as int)) as submitted_at", "cast(id as double) as total",
+        "if(id % 5 = 0, 'x', null) as anomaly_type", "case when id % 5 = 0 then 1 when id % 11 = 0 then null else 0 end as is_anomaly",
+    )
+    rows = rows.unionByName(rows.where("total < 20"))  # ids may repeat
+    got = defects.inject_resubmissions(rows, 0.3)
+    drawn = defects._with_draws(rows, 42, "r").where("is_anomaly = 0 and _u[0] < 0.3D").selectExpr(
+        "concat('R', substring(md5(concat(receipt_id, ':again42')), 1, 12)) as receipt_id",
+        "submitted_at + make_dt_interval(0, 0, 0, cast(floor((_u[1] * 89 + 1) / 1440.0D * 86400.0D) as decimal(18,6))) as submitted_at", "total",
+        "'duplicate_submission' as anomaly_type", "1 as is_anomaly",
+    )
+    want = rows.unionByName(drawn)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and drawn.count() > 20
+    assert got.dtypes == rows.dtypes
+    made = defects.inject_resubmissions(spark.range(9).selectExpr("'R' as receipt_id", "current_timestamp() as submitted_at", "'' as anomaly_type", "0 as is_anomaly"))
+    assert "Union" not in made._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_features_store_the_receipts_once(spark, tables, monkeypatch):
+    from tallyforge.catalog import analytics
+    from tallyforge.operators import features
+    from tallyforge.session import settle
+
+    stored, kept = [], settle(spark.range(3))
+    assert settle(kept) is kept
+    for module in (analytics, features):
+        monkeypatch.setattr(module, "settle", lambda df: (stored.append(df.columns), settle(df))[1])
+    assert analytics.QUERIES["psi_features"](spark, tables.dir).count() == 22
+    assert len([c for c in stored if "items" in c]) == 1
