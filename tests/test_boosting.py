@@ -172,3 +172,57 @@ def test_rows_that_one_task_is_faster_with_need_no_job_a_level(spark, monkeypatc
     df = spark.range(250_000).select(F.concat(F.lit("R"), "id").alias("id"), *[(F.xxhash64("id", F.lit(n)) % 1000 / 7.0).alias(n) for n in NAMES], (F.col("id") % 9 == 0).cast("int").alias("y"))
     fitted = boosting.fit(df, NAMES, "y", "id", Settings(rounds=1, depth=2))
     assert set(fitted.nodes.tree) == {0}
+
+
+@pytest.mark.parametrize("attempts", [5, 0])
+def test_a_fit_outlives_lost_blocks(spark, monkeypatch, attempts):
+    """Blocks lie in files of the executors; if they vanish, blocks are packed anew, or persisted by Spark."""
+    import glob
+    import shutil
+    import tempfile
+
+    pattern = f"{tempfile.gettempdir()}/tallyforge-fit-*"
+    data, settings, others = rows(600, 1), Settings(rounds=5, depth=4, least_curvature=1.0), set(glob.glob(pattern))
+    one = boosting.fit(frame(spark, data, 1), NAMES, "y", "id", settings)
+    calls, plain_level, lost = [], boosting.Tree.level, {3, 9}
+
+    def level(tree, hist):
+        calls.append(tree.number)
+        if len(calls) in lost:
+            homes = set(glob.glob(pattern)) - others
+            assert homes or attempts == 0
+            for home in homes:
+                shutil.rmtree(home)
+        return plain_level(tree, hist)
+
+    monkeypatch.setattr(boosting.Tree, "level", level)
+    monkeypatch.setattr(boosting, "ATTEMPTS", attempts)
+    many = boosting.fit(frame(spark, data[::-1], 5), NAMES, "y", "id", settings, one_task=0, tasks=3, store_every=2)
+    assert one.nodes.equals(many.nodes) and set(glob.glob(pattern)) <= others
+    assert len(calls) > len({(r.tree, int(r.node).bit_length()) for r in one.nodes.itertuples() if r.feature >= 0})
+
+
+def test_a_level_moves_no_rows(spark, monkeypatch):
+    """A level's tasks get folders' names from Spark; the blocks themselves stay where they are."""
+    from pyspark import RDD
+
+    kinds, plain_map = [], RDD.map
+    monkeypatch.setattr(RDD, "map", lambda rdd, f, *a, **k: (kinds.append(f), plain_map(rdd, f, *a, **k))[1])
+    boosting.fit(frame(spark, rows(300, 1), 5), NAMES, "y", "id", Settings(rounds=2, depth=2), one_task=0, tasks=2)
+    assert len([f for f in kinds if isinstance(f, boosting._LevelOf)]) >= 2
+
+
+def test_features_counted_together_give_each_ones_sums():
+    sizes = [256, 11, 3, 2, 200, 24]
+    assert sorted(f for group in boosting.bundles(sizes) for f in group) == list(range(6)) and len(boosting.bundles(sizes)) < 6
+    rng = np.random.default_rng(5)
+    bins = np.column_stack([rng.integers(0, n, 800) for n in sizes]).astype(np.uint8)
+    table = pa.table({"key": np.arange(800), "label": rng.integers(0, 2, 800).astype(float), "weight": np.ones(800), "bins": [b.tobytes() for b in bins], "margin": rng.normal(size=800)})
+    one, together = boosting.Block(table, Settings(), 6), boosting.Block(table, Settings(), 6, sizes)
+    for block in (one, together):
+        block.begin(0, np.array([1, 2, 4, 5]))
+    assert (one.histogram([1]) == together.histogram([1])).all() and one.histogram([1]).any()
+    for block in (one, together):
+        block.descend({1: (4, 100), 2: (1, 5)})
+    for nodes in ([3], [4, 3]):
+        assert (one.histogram(nodes) == together.histogram(nodes)).all() and one.histogram(nodes).any()
