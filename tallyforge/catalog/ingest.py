@@ -11,7 +11,7 @@ from tallyforge.catalog.sql import with_tables
 from tallyforge.functions.receipts import items_subtotal
 from tallyforge.operators import defects, receipt_text, silver
 from tallyforge.plans import store_health
-from tallyforge.session import scratch_path
+from tallyforge.session import free_shuffles, scratch_path
 from tallyforge.sources import files, normalise, sinks
 from tallyforge.streaming import event_windows, landing
 
@@ -231,7 +231,9 @@ def _(t):
     n = max(64, t.orders.count() // PER_DOCUMENT)
     parts = stamped.groupBy(F.pmod(F.xxhash64("receipt_id"), F.lit(n)).alias("part")).agg(F.collect_list(F.struct(*stamped.columns)).alias("receipts"))
     documents = parts.select("part", F.to_json(F.struct("receipts"), {"ignoreNullFields": "false"}).alias("value"))
-    documents.repartition("part").write.partitionBy("part").text(path)
+    # dealt by part already; the text itself is large, so it is neither dealt again nor kept plain
+    documents.write.partitionBy("part").option("compression", "gzip").text(path)
+    free_shuffles(t.spark)
     return summary(files.read_receipts(t.spark, path))
 
 

@@ -159,3 +159,19 @@ def test_documents_are_whole_or_refused(spark, tmp_path):
         else:
             with pytest.raises(Exception):
                 df()
+
+
+def test_wrapped_documents_are_kept_small_and_dealt_once(spark, tables):
+    """The text of all receipts is written compressed, by the tasks that collected the documents."""
+    from pathlib import Path
+
+    from tallyforge.catalog import ingest
+    from tallyforge.session import shared_dir
+
+    held = lambda: set(Path(shared_dir(spark).removeprefix("file:"), "tallyforge").glob("*/receipts.json"))
+    before = held()
+    got = ingest.QUERIES["source_json_wrapper"](spark, tables.dir)
+    assert got.count() == tables.orders.count()
+    (path,) = held() - before
+    files = list(path.glob("part=*/part-*"))
+    assert files and all(f.name.endswith(".gz") for f in files)
